@@ -1,9 +1,11 @@
 """The subpackage's queries and their SQL, for __spark_entry__.py."""
 
-from gridloom.llm import simhash, substring
+from gridloom.llm import bpe, licenses, simhash, substring
 
 QUERIES = {
+    "op2_bpe": bpe.op2_bpe,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op8_simhash": simhash.op8_simhash,
+    "op9_license_scan": licenses.op9_license_scan,
 }
 ORACLE_SQL = {"op4_substring_dedup": substring.ORACLE_SQL}
