@@ -1,11 +1,12 @@
 """The subpackage's queries and their SQL, for __spark_entry__.py."""
 
-from gridloom.llm import bpe, licenses, simhash, substring
+from gridloom.llm import bpe, licenses, simhash, substring, warc
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
+    "op3_warc": warc.op3_warc,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scan": licenses.op9_license_scan,
 }
-ORACLE_SQL = {"op4_substring_dedup": substring.ORACLE_SQL}
+ORACLE_SQL = {"op3_warc": warc.ORACLE_SQL, "op4_substring_dedup": substring.ORACLE_SQL}
