@@ -18,7 +18,18 @@ POLY = 0x9E3779B97F4A7C15
 POLY_INV = pow(POLY, -1, 1 << 64)
 
 
+#: Rows of texts that go to a Python worker at once: a default batch of 10,000 long texts takes much of an executor's memory.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
