@@ -1,12 +1,13 @@
 """The subpackage's queries and their SQL, for __spark_entry__.py."""
 
-from gridloom.llm import bpe, langid, licenses, simhash, substring, warc
+from gridloom.llm import bpe, caps, langid, licenses, simhash, substring, warc
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
     "op3_warc": warc.op3_warc,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_language_id": langid.op5_language_id,
+    "op6_embedding_dedup": caps.op6_embedding_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scan": licenses.op9_license_scan,
 }
