@@ -1,6 +1,6 @@
 """The subpackage's queries and their SQL, for __spark_entry__.py."""
 
-from gridloom.llm import bpe, caps, langid, licenses, simhash, substring, warc
+from gridloom.llm import bpe, caps, langid, licenses, routing, simhash, substring, warc
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
@@ -10,5 +10,6 @@ QUERIES = {
     "op6_embedding_dedup": caps.op6_embedding_dedup,
     "op8_simhash": simhash.op8_simhash,
     "op9_license_scan": licenses.op9_license_scan,
+    "op10_nearest": routing.op10_nearest,
 }
 ORACLE_SQL = {"op3_warc": warc.ORACLE_SQL, "op4_substring_dedup": substring.ORACLE_SQL}
