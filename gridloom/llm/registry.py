@@ -1,8 +1,9 @@
 """The subpackage's queries and their SQL, for __spark_entry__.py."""
 
-from gridloom.llm import bpe, caps, langid, licenses, routing, simhash, substring, warc
+from gridloom.llm import bpe, caps, langid, licenses, routing, simhash, substring, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_bpe": bpe.op2_bpe,
     "op3_warc": warc.op3_warc,
     "op4_substring_dedup": substring.op4_substring_dedup,
