@@ -83,18 +83,19 @@ def repeated_spans(docs: DataFrame, length: int = 20, k: int = SEED_WORDS) -> Da
     """doc_id, first, last: words first..last lie in windows that also start earlier. Spans may overlap."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = texts.mapInArrow(partial(_anchor_batches, length=length, k=k), "seed long, extension long, doc_id long, start int, windows int")
-    again = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    # What joins back is a table of its own: adaptive skew handling splits a hot key only between plain exchanges.
+    again = written(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "again")
     again = written(found.join(again, "seed"), "seeds")
     place = F.struct("doc_id", "start")
     classes = again.groupBy("seed", "extension").agg(F.min(place).alias("least"), F.min("windows").alias("windows"), F.count("*").alias("n"))
     classes = written(classes, "classes")
     later = again.join(classes.where("n > 1").select("seed", "extension", "least"), ["seed", "extension"]).where(place > F.col("least"))
     whole = later.select("doc_id", F.col("start").alias("first"), (F.col("start") + F.col("windows") + F.lit(length - 2)).alias("last"))
-    shared = classes.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    shared = written(classes.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "shared")
     firsts = classes.join(shared, "seed").select("least.doc_id", F.struct("seed", "least.start", "windows").alias("span"))
     firsts = firsts.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     windows = written(texts.join(firsts, "doc_id").mapInArrow(partial(_window_batches, length=length), "seed long, window long, doc_id long, start int"), "windows")
-    least = windows.groupBy("seed", "window").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("seed", "window", "least")
+    least = written(windows.groupBy("seed", "window").agg(F.min(place).alias("least"), F.count("*").alias("n")).where("n > 1").select("seed", "window", "least"), "least")
     single = windows.join(least, ["seed", "window"]).where(place > F.col("least"))
     return whole.union(single.select("doc_id", F.col("start").alias("first"), (F.col("start") + F.lit(length - 1)).alias("last")))
 
