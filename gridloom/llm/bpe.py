@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -23,7 +22,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridloom.llm.common import read
 
@@ -152,20 +150,25 @@ def _codec(spec: str, table) -> _Codec:
     return _CODECS[key][1]
 
 
-def _code_batches(batches: Iterator[pa.RecordBatch], spec: str, table, digest: bool) -> Iterator[pa.RecordBatch]:
+#: What can be asked for, with its type: ids and their text's digest, the decoded text and its digest.
+OUTPUTS = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _code_batches(batches: Iterator[pa.RecordBatch], spec: str, table, outputs: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     codec = _codec(spec, table)
+    make = {"ids": lambda i, p: list(map(int, i.split())), "decoded": lambda i, p: p, "ids_sha256": lambda i, p: hashlib.sha256(i.encode()).hexdigest(), "decoded_sha256": lambda i, p: hashlib.sha256(p.encode()).hexdigest()}
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
-            n, first, second = [], [], []
+            n, made = [], {x: [] for x in outputs}
             for text in part.column("text").to_pylist():
                 found = codec.entries(text)
                 ids, pieces = " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
                 n.append(sum([x[0] for x in found]))
-                first.append(hashlib.sha256(ids.encode()).hexdigest() if digest else list(map(int, ids.split())))
-                second.append(hashlib.sha256(pieces.encode()).hexdigest() if digest else pieces)
+                for x, v in made.items():
+                    v.append(make[x](ids, pieces))
             out = {x: part.column(x) for x in part.schema.names if x != "text"} | {"n_tokens": pa.array(n, pa.int64())}
-            out |= {"ids_sha256": pa.array(first, pa.string()), "decoded_sha256": pa.array(second, pa.string())} if digest else {"ids": pa.array(first, pa.list_(pa.int32())), "decoded": pa.array(second, pa.string())}
+            out |= {x: pa.array(v, pa.list_(pa.int32()) if x == "ids" else pa.string()) for x, v in made.items()}
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
 
@@ -175,8 +178,8 @@ def _default_spec() -> str:
     return Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
 
 
-def encode_decode(docs: DataFrame, spec: str | None = None, table_words: int = TABLE_WORDS, digest: bool = False) -> DataFrame:
-    """docs without text, with n_tokens, ids, decoded (or ids_sha256, decoded_sha256) for each of its rows.
+def encode_decode(docs: DataFrame, spec: str | None = None, outputs: tuple[str, ...] = ("ids", "decoded"), table_words: int = TABLE_WORDS) -> DataFrame:
+    """docs without text, with n_tokens and the OUTPUTS asked for, for each of its rows.
 
     spec is the tokenizer's JSON, by default that of the public word-level BPE. Null texts count as
     empty and have no tokens; strings of special tokens in a text become those tokens; repeated rows
@@ -184,15 +187,13 @@ def encode_decode(docs: DataFrame, spec: str | None = None, table_words: int = T
     empty table gives an empty result.
     """
     spec = spec or _default_spec()
-    added = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["n_tokens", "ids", "decoded"]
-    docs = docs.drop(*added).withColumn("text", F.col("text").cast("string"))
+    docs = docs.drop("n_tokens", *OUTPUTS).withColumn("text", F.col("text").cast("string"))
     codec = _Codec(spec, {})
     table = {r["word"]: codec.entry(list(r["ids"]))[:2] + (" ".join(r["pieces"]),) for r in word_table(docs, spec, table_words).toLocalIterator()}
-    kinds = ["long", "string", "string"] if digest else ["long", "array<int>", "string"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"] + [f"{x} {k}" for x, k in zip(added, kinds, strict=True)])
-    return docs.mapInArrow(partial(_code_batches, spec=spec, table=docs.sparkSession.sparkContext.broadcast(table), digest=digest), T._parse_datatype_string(schema))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"] + ["n_tokens long", *(f"{x} {OUTPUTS[x]}" for x in outputs)])
+    return docs.mapInArrow(partial(_code_batches, spec=spec, table=docs.sparkSession.sparkContext.broadcast(table), outputs=outputs), schema)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 over the whole documents table."""
-    return encode_decode(read(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return encode_decode(read(spark, sf_dir, "documents").select("doc_id", "text"), outputs=("ids_sha256", "decoded_sha256"))

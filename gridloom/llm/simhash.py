@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import read, rows_of, written
+from gridloom.llm.common import POLY, mix, read, written
 from gridloom.llm.components import components
 
 BITS = 64
@@ -226,10 +226,125 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, hot_shar
     fps = written(fingerprints(docs, shingle), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(link_edges(distinct, radius, hot_shard))
-    named = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    # A table of its own: adaptive skew handling splits a fingerprint of many copies only between plain exchanges.
+    named = written(distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id")), "named")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Long fingerprints: words of 64 bits; bands of so many of their bits, drawn at random, so many bands.
+LONG_WORDS, BAND_BITS, BANDS = 16, 20, 96
+#: Two texts of a band go on to the check of their long fingerprints if their first words differ in at most so many bits.
+FIRST_WORD_RADIUS = 20
+
+
+def long_simhash(words: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
+    """LONG_WORDS fingerprint words, each the majority of another mixing of the shingles' hashes; the first is simhash()'s."""
+    if not words:
+        return np.zeros(LONG_WORDS, np.uint64)
+    shingles = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, shingles), repeat(seed)), np.uint64)
+    total = np.zeros(LONG_WORDS * BITS, np.int64)
+    salts = np.arange(1, LONG_WORDS, dtype=np.uint64) * np.uint64(POLY)
+    for at in range(0, len(hashes), 255):  # at most 255 rows, so that sums fit a byte
+        part = hashes[at : at + 255]
+        each = np.concatenate([part[:, None], mix(part[:, None] + salts)], axis=1)
+        total += np.unpackbits(each.astype("<u8").view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
+
+
+def _long_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            found = [long_simhash(lowered_words(t), shingle).tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], ["doc_id", "print"])
+
+
+def band_places(bits: int = BAND_BITS, bands: int = BANDS) -> np.ndarray:
+    rng = np.random.default_rng(23)
+    return np.stack([rng.choice(LONG_WORDS * BITS, bits, replace=False) for _ in range(bands)])
+
+
+def _band_batches(batches: Iterator[pa.RecordBatch], places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """rep, print to rows (band, rep, fp): one for each band."""
+    weights = 1 << np.arange(places.shape[1], dtype=np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            raw = np.frombuffer(b"".join(part.column("print").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+            bits = np.unpackbits(raw, axis=1, bitorder="little")
+            key = bits[:, places] @ weights + (np.arange(len(places), dtype=np.int64) << places.shape[1])
+            first = np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0]
+            n = len(places)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(part.column("rep").to_numpy(), n)), pa.array(np.repeat(first, n))], ["band", "rep", "fp"])
+
+
+def _centre(fp: np.ndarray, rep: np.ndarray) -> int:
+    """The member nearest to the majority of all members' bits: the text that the others were made from, if there is one."""
+    total = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    middle = np.packbits(2 * total > len(fp), bitorder="little").view("<u8")[0]
+    return int(np.lexsort((rep, np.bitwise_count(fp ^ middle)))[0])
+
+
+def _spoke_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by band value to edges (a, b) from its members to its centre. Of a value that goes on over batches the centre of its first stretch stays, so memory is bounded."""
+    last_key, centre = None, (0, 0)
+    for batch in batches:
+        band, rep = batch.column("band").to_numpy(), batch.column("rep").to_numpy()
+        fp = batch.column("fp").to_numpy().view(np.uint64)
+        cuts = np.flatnonzero(np.diff(band)) + 1
+        a, b = [], []
+        for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(band)), strict=True):
+            if lo == hi:
+                continue
+            if band[lo] != last_key:
+                if hi - lo == 1:
+                    last_key, centre = band[lo], (rep[lo], fp[lo])
+                    continue
+                at = _centre(fp[lo:hi], rep[lo:hi]) if hi - lo > 2 else int(rep[lo + 1] < rep[lo])
+                last_key, centre = band[lo], (rep[lo + at], fp[lo + at])
+            near = rep[lo:hi][(np.bitwise_count(fp[lo:hi] ^ centre[1]) <= FIRST_WORD_RADIUS) & (rep[lo:hi] != centre[0])]
+            a.append(near)
+            b.append(np.full(len(near), centre[0]))
+        if a:
+            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], ["a", "b"])
+
+
+def _distance_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for n in ("print_a", "print_b"))
+        keep = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id for each row of docs (doc_id, text): groups of texts alike in so much of their shingles.
+
+    For texts whose Jaccard similarity of shingles is only ``similarity``, fingerprints of 64 bits
+    differ in some ten bits, far beyond the radius of a tree that still prunes. So fingerprints here
+    have 1024 bits: texts meet where a band of 20 of these bits, drawn at random, is equal (of pairs
+    at 0.8 some 97 of 100 meet in one of the bands, of those at 0.85 over 99.9), each is compared with the centre of
+    those it meets, and linked if the share of differing bits is at most that of the similarity asked
+    for, which it shows with a standard deviation of 0.03. Nulls, copies and repeated rows are as in near_duplicates, except that texts
+    without a word link with nothing.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    most = int(LONG_WORDS * BITS * np.arccos(cosine) / np.pi)
+    prints = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_long_batches, shingle=shingle), "doc_id long, print binary"), "prints")
+    nothing = F.lit(bytes(LONG_WORDS * 8))
+    distinct = written(prints.where((F.col("print") != nothing) & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("rep")), "distinct")
+    bands = distinct.mapInArrow(partial(_band_batches, places=band_places()), "band long, rep long, fp long")
+    edges = bands.repartition("band").sortWithinPartitions("band").mapInArrow(_spoke_batches, "a long, b long")
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = edges.join(distinct.select(F.col("rep").alias("a"), F.col("print").alias("print_a")), "a").join(distinct.select(F.col("rep").alias("b"), F.col("print").alias("print_b")), "b")
+    roots = components(pairs.mapInArrow(partial(_distance_batches, most=most), "a long, b long"))
+    named = written(distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("root", "rep").alias("component_id")), "named")
+    return prints.join(named, "print", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id over the whole documents table."""
     found = near_duplicates(read(spark, sf_dir, "documents"))
