@@ -5,9 +5,8 @@ Filter directions are the structured product of random unit codes over blocks of
 all directions whose cap it lies in, that is, whose inner product exceeds the threshold; the search
 goes block by block and drops what the best words of the blocks left cannot lift over it. Vectors
 that are near lie in many caps together, others seldom in one. Vectors meet by the words of all
-blocks but the last and carry bits for the last block's, so one row stands for many filters; all
-pairs that meet, those that share a filter among them, are verified by their cosine in double
-precision.
+blocks but the last, so one row stands for many filters; all pairs that meet, those that share a
+filter among them, are verified by their cosine in double precision.
 
 Equal vectors of a label are one node with a count. A pair met under several filters counts where
 its least common words are. Groups are cut into chunks that are compared two by two, so no task
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import read, written
 from gridloom.llm.components import components
 
-#: Independent codes; filters per vector and code on average; vectors per filter aimed at; code words per block at most (bits of a mask).
-CODES, FILTERS, BUCKET, WORDS = 4, 32.0, 24.0, 64
+#: Independent codes; filters per vector and code on average; vectors per filter aimed at; code words per block at most.
+CODES, FILTERS, BUCKET, WORDS = 4, 16.0, 24.0, 64
 #: Vectors of a group that are compared with as many others at once.
 CHUNK = 4096
 
@@ -62,7 +61,7 @@ class ProductCode:
         return [turned[:, lo:hi] @ c.T for lo, hi, c in zip(self.cut, self.cut[1:], self.code, strict=False)]
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each vector and prefix (words of all blocks but the last) with a direction over the threshold: vector, prefix, bits of the last block's words."""
+        """For each vector and prefix (words of all blocks but the last) with a direction over the threshold: vector, prefix, number of such directions."""
         parts = self.scores(unit)
         best = np.cumsum([p.max(axis=1) for p in parts[::-1]], axis=0)[::-1]
         who, prefix, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
@@ -70,11 +69,9 @@ class ProductCode:
             reach = total[:, None] + part[who]
             row, word = np.nonzero(reach + best[b + 1][who][:, None] >= self.threshold)
             total, prefix, who = reach[row, word], prefix[row] * self.words + word, who[row]
-        bits = np.zeros((len(who), WORDS), np.uint8)
-        bits[:, : self.words] = total[:, None] + parts[-1][who] >= self.threshold
-        mask = np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0]
-        keep = mask != 0
-        return who[keep], prefix[keep], mask[keep]
+        filters = (total[:, None] + parts[-1][who] >= self.threshold).sum(axis=1)
+        keep = filters > 0
+        return who[keep], prefix[keep], filters[keep]
 
 
 class CodeSet:
@@ -86,9 +83,9 @@ class CodeSet:
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As of one code, in the order of the vectors; prefixes of different codes differ."""
         found = [c.decode(unit) for c in self.codes]
-        who, prefix, mask = (np.concatenate(x) for x in zip(*((w, p + i * c.words ** (c.blocks - 1), m) for i, (c, (w, p, m)) in enumerate(zip(self.codes, found, strict=True))), strict=True))
+        who, prefix, filters = (np.concatenate(x) for x in zip(*((w, p + i * c.words ** (c.blocks - 1), m) for i, (c, (w, p, m)) in enumerate(zip(self.codes, found, strict=True))), strict=True))
         order = np.argsort(who, kind="stable")
-        return who[order], prefix[order], mask[order]
+        return who[order], prefix[order], filters[order]
 
 
 def _matrix(values: pa.Array) -> np.ndarray:
@@ -98,54 +95,49 @@ def _matrix(values: pa.Array) -> np.ndarray:
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], codes: dict[int, CodeSet]) -> Iterator[pa.RecordBatch]:
-    names = ["rep", "label", "dim", "size", "embedding", "prefixes", "masks"]
+    names = ["rep", "label", "dim", "size", "embedding", "prefixes"]
     for batch in batches:
         dims = batch.column("dim").to_numpy()
         for dim in np.unique(dims):
             part = batch.filter(pa.array(dims == dim))
             x = _matrix(part.column("embedding"))
-            who, prefix, mask = codes[int(dim)].decode(x / np.linalg.norm(x, axis=1, keepdims=True))
+            who, prefix, _ = codes[int(dim)].decode(x / np.linalg.norm(x, axis=1, keepdims=True))
             ends = np.searchsorted(who, np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in (prefix, mask.view(np.int64))]
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names[:5]), *lists], names)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names[:5]), pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix))], names)
 
 
-def _sparse(prefixes: pa.Array, masks: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
-    """A row of masks for each vector, a column for each prefix in use."""
-    out = np.zeros((len(prefixes), len(vocabulary)), np.uint64)
+def _members(prefixes: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
+    """A row for each vector, a column for each prefix of the vocabulary: whether the vector has it."""
+    out = np.zeros((len(prefixes), len(vocabulary)), bool)
     rows = np.repeat(np.arange(len(prefixes)), np.diff(prefixes.offsets.to_numpy()))
     flat = prefixes.flatten().to_numpy()
     at = np.searchsorted(vocabulary, flat)
     known = (at < len(vocabulary)) & (vocabulary[np.minimum(at, len(vocabulary) - 1)] == flat)
-    out[rows[known], at[known]] = masks.flatten().to_numpy().view(np.uint64)[known]
+    out[rows[known], at[known]] = True
     return out
 
 
 def _verify(table: pa.Table, cosine: float) -> pa.Table:
     """One group and pair of chunks (a, b): rep, links (weighted by sizes of the vectors linked), least (the least rep linked)."""
-    table = table.combine_chunks()
     prefix, a, b = (table[n][0].as_py() for n in ("prefix", "a", "b"))
     rep, size, chunk = (table[n].to_numpy() for n in ("rep", "size", "chunk"))
     x = _matrix(table["embedding"])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    prefixes, masks = (table[n].combine_chunks() for n in ("prefixes", "masks"))
-    prefixes, masks = (v.chunk(0) if isinstance(v, pa.ChunkedArray) else v for v in (prefixes, masks))
+    prefixes = pa.concat_arrays(table["prefixes"].chunks)
     vocabulary = np.unique(prefixes.flatten().to_numpy())
     vocabulary = vocabulary[vocabulary <= prefix]  # what comes later cannot be a pair's least
-    mask = _sparse(prefixes, masks, vocabulary)
+    has = _members(prefixes, vocabulary)
     links, least = np.zeros(len(rep), np.int64), rep.copy()
     left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
     for lo in range(0, len(left), 512):
         rows = left[lo : lo + 512]
-        near = x[rows] @ x[right].T >= cosine
-        i, j = np.nonzero(near)
+        i, j = np.nonzero(x[rows] @ x[right].T >= cosine)
         i, j = rows[i], right[j]
         pick = i < j if a == b else i != j
         i, j = i[pick], j[pick]
         for at in range(0, len(i), 65_536):
             p, q = i[at : at + 65_536], j[at : at + 65_536]
-            first = (mask[p] != 0) & (mask[q] != 0)
-            own = first[:, -1] & ~first[:, :-1].any(axis=1)
+            own = ~(has[p, :-1] & has[q, :-1]).any(axis=1)
             p, q = p[own], q[own]
             np.add.at(links, p, size[q])
             np.add.at(links, q, size[p])
@@ -160,7 +152,7 @@ def clean_vectors(vectors: DataFrame) -> DataFrame:
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists(x, lambda v: v != 0)
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
-    return rows.where(fine).select(F.col("vec_id").cast("long"), F.col("label").cast("long").alias("label"), F.size("embedding").alias("dim"), F.transform(x, lambda v: v + F.lit(0.0)).alias("embedding"))
+    return rows.where(fine).select(F.col("vec_id").cast("long"), F.col("label").cast("long").alias("label"), F.size("embedding").alias("dim"), "embedding")
 
 
 def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int = CODES, filters: float = FILTERS) -> DataFrame:
@@ -178,7 +170,8 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     groups = written(groups, "vectors")
     largest = groups.groupBy("label", "dim").count().groupBy("dim").agg(F.max("count").alias("n")).collect()  # one row for each dimension in use
     code_sets = {r["dim"]: CodeSet(r["dim"], r["n"], codes, filters) for r in largest}
-    fields = "rep long, label long, dim int, size long, embedding array<double>, prefixes array<long>, masks array<long>"
+    kind = dict(clean.dtypes)["embedding"]
+    fields = f"rep long, label long, dim int, size long, embedding {kind}, prefixes array<long>"
     decoded = groups.select("rep", "label", "dim", "size", "embedding").mapInArrow(partial(_decode_batches, codes=code_sets), fields)
     decoded = written(decoded, "filters")
     keys = decoded.select("label", "dim", F.explode("prefixes").alias("prefix"))
@@ -186,7 +179,7 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     members = decoded.select("*", F.explode("prefixes").alias("prefix")).join(chunks, ["label", "dim", "prefix"])
     members = members.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     other = F.explode(F.expr("sequence(0, chunks - 1)"))
-    members = members.select("rep", "label", "dim", "size", F.col("embedding"), "prefixes", "masks", "prefix", "chunk", other.alias("other"))
+    members = members.select("rep", "label", "dim", "size", "embedding", "prefixes", "prefix", "chunk", other.alias("other"))
     members = members.withColumns({"a": F.least("chunk", "other"), "b": F.greatest("chunk", "other")}).drop("other")
     found = members.groupBy("label", "dim", "prefix", "a", "b").applyInArrow(lambda table: _verify(table, cosine), "rep long, links long, least long")
     found = written(found.groupBy("rep").agg(F.sum("links").alias("links"), F.min("least").alias("least"), F.collect_set("least").alias("all")), "links")
