@@ -119,12 +119,15 @@ def mix(docs: DataFrame, targets: Targets, language: str = "lang") -> DataFrame:
     spark = docs.sparkSession
     plan_df = F.broadcast(spark.createDataFrame(plan, "domain string, language string, leaf_source string, full_epochs int, rest long"))  # one row for each leaf
     part = _ordered(sizes.join(plan_df, leaf).withColumn("epoch", F.col("full_epochs") + 1), targets.seed).where("rest > 0")
-    sums = part.groupBy(*leaf, "bucket").agg(F.sum("tokens").alias("in_bucket"))
-    before = F.coalesce(F.sum("in_bucket").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = F.broadcast(sums.withColumn("before", before).drop("in_bucket"))  # at most BUCKETS rows for each leaf
-    part = part.join(starts, [*leaf, "bucket"]).where("before < rest")
-    inside = F.sum("tokens").over(Window.partitionBy(*leaf, "bucket").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    taken = part.withColumn("until", F.col("before") + inside).where("until <= rest").select("doc_id", "tie", "epoch", "tokens")
+    sums = part.groupBy(*leaf, "bucket").agg(F.sum("tokens").alias("in_bucket"), F.max("rest").alias("rest"))  # at most BUCKETS rows for each leaf
+    through = F.sum("in_bucket").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = sums.withColumn("through", through).where("through > rest")
+    ends = ends.groupBy(*leaf).agg(F.min("bucket").alias("end_bucket"), F.min_by(F.col("through") - F.col("in_bucket"), "bucket").alias("before"))
+    part = part.join(F.broadcast(ends), leaf, "left")  # one row for each leaf
+    below = part.where("end_bucket is null or bucket < end_bucket").select("doc_id", "tie", "epoch", "tokens")
+    inside = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    taken = part.where("bucket = end_bucket").withColumn("until", F.col("before") + inside).where("until <= rest").select("doc_id", "tie", "epoch", "tokens")
+    taken = below.union(taken)
     whole = sizes.join(plan_df, leaf).where("full_epochs > 0").select("doc_id", "tie", F.explode(F.expr("sequence(1, full_epochs)")).alias("epoch"), "tokens")
     chosen = whole.union(taken).groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(F.sort_array(F.collect_set("epoch")).alias("__epochs"), F.max("tokens").alias("tokens"))
     found = docs.withColumn("__own", F.xxhash64("text")).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tie")))
