@@ -137,3 +137,53 @@ def mix(docs: DataFrame, targets: Targets, language: str = "lang") -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, epoch, tokens, source, lang of the rows taken from the whole documents table."""
     return mix(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), QUERY_TARGETS).select("doc_id", "epoch", "tokens", "source", "lang")
+
+
+def _level_sql(k: int) -> str:
+    """Budgets of the nodes below kids{k} (p, name, w, cap) from above{k} (p, budget), one child after the other as shared_out() has them."""
+    return f"""
+open{k} AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY cap / w, name) AS rn, count(*) OVER (PARTITION BY p) AS n FROM kids{k} WHERE w > 0 AND cap > 0),
+start{k} AS (SELECT o.p, least(any_value(a.budget), CAST(sum(o.cap) AS BIGINT)) AS budget, sum(o.w) AS weight FROM open{k} o JOIN above{k} a ON a.p = o.p GROUP BY o.p),
+walk{k} AS (
+  SELECT p, CAST(0 AS BIGINT) AS rn, '' AS name, budget, weight, CAST(0 AS BIGINT) AS given, CAST(0 AS BIGINT) AS slack FROM start{k}
+  UNION ALL
+  SELECT p, rn, name, budget - g, weight - w, g, cap - g FROM (
+    SELECT o.p, o.rn, o.name, o.w, o.cap, x.budget, x.weight,
+           least(o.cap, CASE WHEN o.rn = o.n THEN x.budget ELSE CAST(trunc(x.budget * o.w / x.weight) AS BIGINT) END) AS g
+    FROM walk{k} x JOIN open{k} o ON o.p = x.p AND o.rn = x.rn + 1)
+), left{k} AS (SELECT p, arg_max(budget, rn) AS more FROM walk{k} GROUP BY p),
+given{k} AS (
+  SELECT x.p, x.name, x.given + least(x.slack, greatest(0, l.more - coalesce(CAST(sum(x.slack) OVER (PARTITION BY x.p ORDER BY x.name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0))) AS budget
+  FROM walk{k} x JOIN left{k} l ON l.p = x.p WHERE x.rn > 0
+)"""
+
+
+def _weights_sql(weights: dict[str, float], column: str) -> str:
+    return f"CAST(CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END AS DOUBLE)" if weights else "CAST(1 AS DOUBLE)"
+
+
+def mixture_sql(t: Targets) -> str:
+    d, l, s = (_weights_sql(w, c) for w, c in zip(t.weights, ("domain", "language", "leaf_source"), strict=True))
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS tokens,
+         CASE WHEN regexp_extract(coalesce(source, ''), '\d+') = '' THEN 'other' ELSE 'd' || (CAST(regexp_extract(source, '\d+') AS BIGINT) % 3) END AS domain,
+         coalesce(lang, 'none') AS language, coalesce(source, 'none') AS leaf_source FROM documents
+), leaves AS (SELECT domain, language, leaf_source, CAST(sum(tokens) AS BIGINT) AS t FROM docs GROUP BY ALL),
+above1 AS (SELECT '' AS p, CAST(trunc(CAST(sum(t) AS BIGINT) * CAST({t.share} AS DOUBLE)) AS BIGINT) AS budget FROM leaves),
+kids1 AS (SELECT '' AS p, domain AS name, {d} AS w, CAST(sum(t) AS BIGINT) * {t.epochs} AS cap FROM leaves GROUP BY domain),{_level_sql(1)},
+above2 AS (SELECT name AS p, budget FROM given1),
+kids2 AS (SELECT domain AS p, language AS name, {l} AS w, CAST(sum(t) AS BIGINT) * {t.epochs} AS cap FROM leaves GROUP BY domain, language),{_level_sql(2)},
+above3 AS (SELECT p || '|' || name AS p, budget FROM given2),
+kids3 AS (SELECT domain || '|' || language AS p, leaf_source AS name, {s} AS w, t * {t.epochs} AS cap FROM leaves),{_level_sql(3)},
+plan AS (SELECT l.*, CASE WHEN t > 0 THEN coalesce(g.budget, 0) // t ELSE 0 END AS full_epochs, CASE WHEN t > 0 THEN coalesce(g.budget, 0) % t ELSE 0 END AS rest
+         FROM leaves l LEFT JOIN given3 g ON g.p = l.domain || '|' || l.language AND g.name = l.leaf_source),
+placed AS (SELECT d.*, p.full_epochs, p.rest FROM docs d JOIN plan p ON p.domain = d.domain AND p.language = d.language AND p.leaf_source = d.leaf_source),
+part AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, language, leaf_source ORDER BY md5('{t.seed}:' || (full_epochs + 1) || ':' || doc_id)) AS until FROM placed WHERE rest > 0)
+SELECT doc_id, CAST(full_epochs + 1 AS INTEGER) AS epoch, tokens, source, lang FROM part WHERE until <= rest
+UNION ALL
+SELECT doc_id, CAST(unnest(range(1, full_epochs + 1)) AS INTEGER) AS epoch, tokens, source, lang FROM placed WHERE full_epochs > 0
+"""
+
+
+ORACLE_SQL = mixture_sql(QUERY_TARGETS)
