@@ -176,6 +176,8 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     decoded = written(decoded, "filters")
     keys = decoded.select("label", "dim", F.explode("prefixes").alias("prefix"))
     chunks = keys.groupBy("label", "dim", "prefix").count().select("label", "dim", "prefix", F.ceil(F.col("count") / CHUNK).cast("int").alias("chunks"), "count").where("count > 1").drop("count")
+    # What joins back is a table of its own: adaptive skew handling splits a hot key only between plain exchanges.
+    chunks = written(chunks, "chunks")
     members = decoded.select("*", F.explode("prefixes").alias("prefix")).join(chunks, ["label", "dim", "prefix"])
     members = members.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     other = F.explode(F.expr("sequence(0, chunks - 1)"))
@@ -187,6 +189,7 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     roots = components(edges)
     named = groups.join(found.select("rep", "links"), "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("label", "dim", "embedding", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+    named = written(named, "named")
     placed = clean.join(named, ["label", "dim", "embedding"]).select("vec_id", "n_links", "component_id").groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(placed, "vec_id", "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
