@@ -14,11 +14,25 @@ from gridloom.llm import bpe, langid, mixing, simhash, substring
 from gridloom.llm.common import read, small_batches, written
 
 
+#: Columns that operators see; all others travel in one struct, so that no name of theirs clashes.
+SEEN = ["doc_id", "text", "lang", "source"]
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in SEEN]
+    return docs.select(*SEEN, *([F.struct(*rest).alias("rest")] if rest else []))
+
+
+def _unpacked(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs again, in their order."""
+    return found.select(*(c if c in SEEN else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language models reject go; a missing lang becomes the predicted one."""
     small_batches(spark)
-    found = langid.identify(docs, langid.learn(docs)).where(~F.col("rejected"))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = langid.identify(_packed(docs), langid.learn(docs)).where(~F.col("rejected"))
+    return _unpacked(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,19 +45,19 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows of 20 that stand earlier in the corpus go from text; n_chars follows."""
     small_batches(spark)
-    found = substring.dedup_text(docs).select(*docs.columns)
+    found = _unpacked(substring.dedup_text(_packed(docs)), docs)
     return found.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else found
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mixture of domains, languages and sources takes, each once."""
-    return mixing.mix(docs, mixing.PIPELINE_TARGETS).select(*docs.columns)
+    return _unpacked(mixing.mix(_packed(docs), mixing.PIPELINE_TARGETS), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and the digest of the decoded text."""
     small_batches(spark)
-    return bpe.encode_decode(docs.select("doc_id", "text", "lang", "source"), outputs=("ids", "decoded_sha256"))
+    return bpe.encode_decode(docs.select(*SEEN), outputs=("ids", "decoded_sha256"))
 
 
 STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("substring_dedup", substring_dedup), ("mixture", mixture), ("bpe", tokens)]

@@ -28,8 +28,9 @@ ALPHABET = (1 << BASE_BITS) - 2
 SAMPLE_TEXTS = 1500
 #: Characters of text scored at once.
 BLOCK = 1 << 20
-#: Texts over mean + REJECT_SD * sd * (1 + REJECT_SHORT / sqrt(n)) of their language's own cross-entropies are rejected.
-REJECT_SD, REJECT_SHORT = 12.0, 25.0
+#: Texts over mean + REJECT_SD * sd + REJECT_SHORT / sqrt(n) of their language's own cross-entropies are rejected: some
+#: twice what the oddest labelled texts have over the mean, and well under what texts in other languages have.
+REJECT_SD, REJECT_SHORT = 20.0, 8.0
 NO_LETTER = "und"
 
 
@@ -217,9 +218,10 @@ def _normal_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Itera
     scorer = _scorer(shared)
     for batch in batches:
         size, found = scorer.cross_entropy(batch.column("text").to_pylist())
-        at = [scorer.model.languages.index(x) for x in batch.column("lang").to_pylist()]
+        known = {x: i for i, x in enumerate(scorer.model.languages)}
+        at = np.array([known.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
         own = found[np.arange(len(found)), at]
-        keep = size >= 20
+        keep = (size >= 20) & (at >= 0)  # a language whose texts have no letter has no model
         yield pa.RecordBatch.from_arrays([batch.column("lang").filter(pa.array(keep)), pa.array(own[keep])], ["lang", "entropy"])
 
 
@@ -268,7 +270,7 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iter
             score = 1.0 / np.exp(-gap).sum(axis=1)
             none = size == 0
             entropy = found[np.arange(len(found)), best]
-            rejected = none | (entropy > mean[best] + REJECT_SD * sd[best] * (1 + REJECT_SHORT / np.sqrt(np.maximum(size, 1))))
+            rejected = none | (entropy > mean[best] + REJECT_SD * sd[best] + REJECT_SHORT / np.sqrt(np.maximum(size, 1)))
             out = {x: part.column(x) for x in part.schema.names} | {
                 "lang_pred": pa.array(np.where(none, NO_LETTER, names[best]), pa.string()), "score": pa.array(np.where(none, 0.0, score)),
                 "cross_entropy": pa.array(entropy, mask=none), "rejected": pa.array(rejected),
