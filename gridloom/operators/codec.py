@@ -106,7 +106,7 @@ def patches(cells: DataFrame, variables: list[Variable]) -> DataFrame:
         raw = F.when(F.col("variable") == v.name, own) if raw is None else raw.when(F.col("variable") == v.name, own)
     placed = with_tile(cells.withColumn("raw", raw))
     return placed.groupBy("tile_id", "variable", "member", "step_h").agg(
-        F.min("lat").alias("lat0"), F.min("lon").alias("lon0"), F.count_distinct("i").cast("int").alias("nlat"), F.count_distinct("j").cast("int").alias("nlon"),
+        F.min("lat").alias("lat0"), F.min("lon").alias("lon0"), (F.max("i") - F.min("i") + 1).alias("nlat"), (F.max("j") - F.min("j") + 1).alias("nlon"),
         F.bool_or(F.col("value").isNotNull() & ~F.isnan("value")).alias("has_data"), F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "raw"))), lambda x: x["raw"]).alias("raw"),
     )
 
