@@ -101,6 +101,7 @@ def revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     keys = pages.where("page_id is not null").select("page_id", F.sha2(body, 256).alias("key"), F.octet_length(body).alias("size")).where(F.col("size") >= least)
     last = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("key", "refers_to")
+    last = written(last, "warc-copies")  # a table of its own, so that a payload of very many copies can be split in the join
     return keys.join(last, "key").where("page_id < refers_to").select("page_id", "refers_to").distinct()
 
 
