@@ -57,10 +57,22 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_TABLES: list[str] = []
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Deletes the tables that operators have written so far. Results that still read them must have been stored before."""
+    sc = spark.sparkContext
+    while _TABLES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage, survives lost executors."""
+    """df as a table in the shared folder: cuts lineage, survives lost executors. remove_tables() deletes it."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    _TABLES.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

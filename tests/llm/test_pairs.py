@@ -33,6 +33,18 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_tables_are_removed(spark):
+    from pathlib import Path
+
+    from gridloom.llm.common import remove_tables, written
+
+    table = written(spark.range(5), "five")
+    where = Path(table.inputFiles()[0].removeprefix("file:")).parent
+    assert table.count() == 5 and where.exists()
+    remove_tables(spark)
+    assert not where.exists()
+
+
 def plain_simhash(text, k):
     words = (text or "").encode().lower().split()
     grams = [b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] if len(words) >= k else [b" ".join(words)] if words else []
