@@ -14,7 +14,7 @@ from gridloom.operators.checks import validate
 from gridloom.operators.codec import build_tiles, run_header
 from gridloom.operators.publishing import PublishError, Run, publish
 from gridloom.session import local_session, ship
-from gridloom.sources import grib, layers, providers, stores
+from gridloom.sources import clients, grib, layers, providers, stores
 from gridloom.sources.providers import CycleNotAvailable
 
 
@@ -38,18 +38,33 @@ def _grid(cells: DataFrame) -> dict:
 
 
 def build(layer: str, cycle: datetime | None, allow_drift: bool = False) -> Built:
-    """A layer from its provider; needs the network and the provider's decoder."""
+    """A layer from its provider; needs the network and the provider's client or decoder."""
     spark = ship(local_session())
-    model, _, members, _, _ = catalog.LAYERS[layer]
-    if layer in ("currents", "weather-ecmwf"):
-        raise CycleNotAvailable(f"{layer} needs its provider's client; pass its fields to gridloom.sources.layers")
-    cycle = providers.resolve(layer, cycle)
-    names = providers.available_members(cycle) if layer == "ensemble" else None
-    fields = grib.decode_messages(layers.download(layers.download_plan(spark, layer, cycle, names)))
-    cells = layers.ensemble_cells(fields, len(names), allow_drift) if names else layers.backfilled(layers.named_cells(fields, layer), layer)
+    model, degrees, _, _, _ = catalog.LAYERS[layer]
+    provenance: dict = {}
+    members: list[str] | None = None
+    if layer == "currents":
+        cycle = providers.resolve(layer, cycle)
+        try:
+            cells = layers.surface_currents(clients.currents_grid(spark, cycle), cycle)
+        except Exception as e:  # whatever keeps the first source away, the second is tried
+            print(f"{layer}: {type(e).__name__}: {e}; trying the fallback")
+            providers.resolve_rtofs(cycle)
+            cells = layers.rtofs_cells()
+    elif layer == "weather-ecmwf":
+        client = clients.open_data_client()
+        cycle = providers.resolve_open_data(clients.latest_open_data(client), cycle)
+        cells = layers.open_data_cells(clients.open_data_fields(spark, cycle, client))
+    else:
+        cycle = providers.resolve(layer, cycle)
+        members = providers.available_members(cycle) if layer == "ensemble" else None
+        fields = grib.decode_messages(layers.download(layers.download_plan(spark, layer, cycle, members)))
+        provenance = {"members": members} if members else {}
+        cells = layers.ensemble_cells(fields, len(members), allow_drift) if members is not None else layers.backfilled(layers.named_cells(fields, layer), layer)
     have = {r[0] for r in cells.select("variable").distinct().collect()}
     kept = [v for v in catalog.VARIABLES[layer] if v.name in have or not v.optional]
-    return Built(Run(layer, model, cycle, catalog.LAYERS[layer][1], catalog.axes(layer), kept, len(names or [0]), {"members": names} if names else {}), cells, **_grid(cells))
+    run = Run(layer, model, cycle, degrees, catalog.axes(layer), kept, len(members) if members else 1, provenance)
+    return Built(run, cells, **_grid(cells))
 
 
 def main(argv: list[str] | None = None, build: Callable[..., Built] = build) -> int:

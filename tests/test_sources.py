@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom import catalog
 from gridloom.operators import scaffold
-from gridloom.sources import grib, http, index_files, layers, providers
+from gridloom.sources import clients, grib, http, index_files, layers, providers
 from gridloom.sources.providers import CycleNotAvailable
 
 NOW = datetime(2026, 7, 13, 14, 30, tzinfo=UTC)
@@ -163,3 +163,65 @@ def test_surface_currents(spark):
         layers.surface_currents(spark.createDataFrame(rows[4:], schema), cycle)
     with pytest.raises(NotImplementedError):
         layers.rtofs_cells()
+
+
+def fake_ocean():
+    class FakeOcean(dict):
+        """A dataset of two rows and columns with the methods that are used."""
+
+        def __init__(self, times):
+            axis = lambda x: type("A", (), {"values": np.array(x)})
+            super().__init__(time=axis(times), latitude=axis([-80.0, -79.0]), longitude=axis([0.0, 1.0]), uo=axis([[1.0, 2.0], [3.0, np.nan]]), vo=axis([[0.0, 0.0], [0.0, 1.0]]))
+
+        def sel(self, time):
+            return self
+
+        def isel(self, depth):
+            return self
+
+    return FakeOcean
+
+
+def test_ocean_toolbox(spark):
+    cycle = datetime(2026, 7, 13, tzinfo=UTC)
+    times = [np.datetime64("2026-07-13T00", "ns") + np.timedelta64(s, "h") for s in catalog.axes("currents")["steps"]]
+    tries, FakeOcean = [], fake_ocean()
+
+    def opened(t=times):
+        tries.append(1)
+        if len(tries) == 1:
+            raise ConnectionError("authentication service is down")
+        return FakeOcean(t)
+
+    cells = layers.surface_currents(clients.currents_grid(spark, cycle, opened, lambda s: None), cycle)
+    assert cells.count() == 41 * 8 and cells.where("value is null").count() == 41
+    with pytest.raises(LookupError):
+        layers.surface_currents(clients.currents_grid(spark, cycle, lambda: FakeOcean(times[:-1])), cycle)
+    assert not clients.is_auth_failure(ValueError("shape"))
+
+
+def test_open_data_service(spark):
+    steps = catalog.axes("weather-ecmwf")["steps"]
+
+    class Client:
+        def latest(self, **kw):
+            return datetime(2026, 7, 13, 0)
+
+        def retrieve(self, step, param, target, **kw):
+            if "10fg" in param:
+                raise OSError("no such parameter")
+            with open(target, "wb") as f:
+                for p in param:
+                    for s in step:
+                        body = f"{p}|{s}".encode()
+                        f.write(b"GRIB" + bytes(4) + (16 + len(body)).to_bytes(8, "big") + body)
+
+    def message(data):
+        name, s = data[16:].decode().split("|")
+        return name, s, KEYS, np.arange(12.0)
+
+    cycle = clients.latest_open_data(Client())
+    cells = layers.open_data_cells(clients.open_data_fields(spark, cycle, Client(), message))
+    assert cells.where("variable = 'gust_kt'").count() == len(steps) * 12 and cells.where("variable = 'gust_kt' and value is null").count() == 12
+    with pytest.raises(CycleNotAvailable):
+        clients.latest_open_data(object())
