@@ -1,7 +1,7 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (lower case, homoglyphs and digits that stand for letters to those letters, all
-else to one space) and an Aho-Corasick automaton finds the lexicon's entries: whole words, and
+Texts are folded (lower case, no accents, homoglyphs and digits that stand for letters to those
+letters, all else to one space) and an Aho-Corasick automaton finds the lexicon's entries: whole words, and
 beginnings of words. Entries inside an exception phrase don't count. The weights found are summed
 and divided by the root of the number of words; a logistic curve gives the score. Entries, weights,
 exceptions and curve are learned from a bounded sample of labelled texts; a lexicon can also be
@@ -11,6 +11,7 @@ given.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,23 +37,39 @@ EXCEPTION_TEXTS = 5
 #: Digits and signs that stand for letters, and letters of other scripts that look like Latin ones.
 DIGITS = dict(zip("0134578@$", "oieastbas", strict=True))
 HOMOGLYPHS = dict(zip("авекмнорстухѕіјԁɡıłαβεηικνορτυχ", "abekmhopctyxsijdgilabenikvoptux", strict=True))
+#: A 1 stands for i or for l, so both are one letter after folding.
+ONE = {"l": "i"}
 #: Beyond Latin-1, letters without a look-alike become this one, which is in no entry.
 OTHER = "\xff"
+#: Left out: soft hyphens, and beyond Latin-1 what has no width.
+SOFT_HYPHEN, NO_WIDTH = b"\xad", {"Mn", "Me", "Cf"}
+
+
+def _plain(c: str) -> str:
+    """A letter without its accent, l as i."""
+    base = unicodedata.normalize("NFD", c)[0]
+    return ONE.get(base, base)
 
 
 def _byte_table() -> bytes:
-    """Latin-1 bytes after folding: letters as they are, digits as their letters, all else a space."""
-    return bytes(ord(DIGITS[c]) if (c := chr(i)) in DIGITS else i if c.isalpha() else 0x20 for i in range(256))
+    """Latin-1 bytes after folding: plain letters, digits as their letters, all else a space."""
+    return bytes(ord(DIGITS[c]) if (c := chr(i)) in DIGITS else i if c == OTHER else ord(_plain(c)) if c.isalpha() else 0x20 for i in range(256))
 
 
 class _Folding(dict):
-    """str.translate() table: characters beyond Latin-1 to their look-alikes, other letters, or a space."""
+    """str.translate() table: characters beyond Latin-1 to their look-alikes, other letters, a space or nothing."""
 
-    def __missing__(self, point: int) -> int:
+    def __missing__(self, point: int) -> str:
         c = chr(point)
-        to = c if point < 256 else HOMOGLYPHS.get(c) or (OTHER if c.isalpha() else "" if c in "​‌‍⁠﻿­" else " ")
-        self[point] = to if len(to) != 1 or ord(to) < 256 else OTHER
-        return self[point]
+        if point < 256:
+            to = c
+        elif unicodedata.category(c) in NO_WIDTH:
+            to = ""
+        else:
+            wide = unicodedata.normalize("NFKD", c)[0]
+            to = HOMOGLYPHS.get(c) or HOMOGLYPHS.get(wide) or (wide if ord(wide) < 256 else OTHER if c.isalpha() else " ")
+        self[point] = to
+        return to
 
 
 _TABLE, _FAR = _byte_table(), _Folding()
@@ -64,11 +81,16 @@ def fold(text: str | None) -> str:
     try:
         raw = low.encode("latin-1")
     except UnicodeEncodeError:
-        raw = low.translate(_FAR).encode("latin-1", "replace")
-    words = raw.translate(_TABLE).split()
+        raw = low.translate(_FAR).lower().encode("latin-1", "replace")
+    words = raw.translate(_TABLE, SOFT_HYPHEN).split()
     return (b" " + b" ".join(words) + b" ").decode("latin-1") if words else " "
 
 
+def folded_entry(entry: str) -> str:
+    """An entry as it stands in folded texts: a space before it, and one behind it if it is a whole word."""
+    return " " + fold(entry).strip() + (" " if entry.endswith(" ") else "")
+
+
 @dataclass
 class Lexicon:
     """entries: ' word ' or ' beginning' to weight; exceptions: phrases; the curve's slope and height."""
@@ -89,7 +111,8 @@ class Matcher:
             if folded != " ":
                 self.automaton.add_word(folded, (len(folded), None))
         for entry, weight in lexicon.entries.items():
-            self.automaton.add_word(entry, (len(entry), weight))
+            folded = folded_entry(entry)
+            self.automaton.add_word(folded, (len(folded), weight))
         self.empty = not len(self.automaton)
         if not self.empty:
             self.automaton.make_automaton()
@@ -202,9 +225,9 @@ def _curve(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def _pruned(found: dict[str, tuple[float, int]]) -> dict[str, float]:
-    """Without beginnings that one longer entry explains better, then without entries that a beginning left explains as well."""
+    """Without beginnings that one longer entry explains as well or better, then without entries that a beginning left explains as well."""
     parents = {e: [p for n in PREFIXES if (p := e[: n + 1]) in found and len(p) < len(e)] for e in found}
-    better = {p for e, above in parents.items() for p in above if found[e][0] > found[p][0] + 0.7 and found[e][1] >= 0.7 * found[p][1]}
+    better = {p for e, above in parents.items() for p in above if found[e][1] >= 0.9 * found[p][1] or (found[e][0] > found[p][0] + 0.7 and found[e][1] >= 0.7 * found[p][1])}
     left = found.keys() - better
     return {e: found[e][0] for e in sorted(left) if not any(p in left and found[p][0] >= found[e][0] - 1.0 for p in parents[e])}
 

@@ -14,14 +14,17 @@ def test_folding_undoes_look_alikes_and_digits():
     assert toxicity.fold("1D10T!") == " idiot "
     assert toxicity.fold("іdіоt") == " idiot "
     assert toxicity.fold(None) == toxicity.fold("  ?? ") == " "
-    assert toxicity.fold("Ça—va") == " ça va "
+    assert toxicity.fold("Ça—va") == " ca va "
+    assert toxicity.fold("c1own l0ser") == toxicity.fold("Clown LÖSER") == " ciown ioser "
+    assert toxicity.fold("i\u0308d\u200bi\xadot ｉｄｉｏｔ Жук") == " idiot idiot \xffyk "
 
 
 def test_longest_entry_counts_once_and_exceptions_do_not():
-    m = toxicity.Matcher(toxicity.Lexicon({" scum ": 3.0, " scu": 1.0, " idio": 2.0}, ["scum of the pond"]))
+    m = toxicity.Matcher(toxicity.Lexicon({"scum ": 3.0, " scu": 1.0, " idio": 2.0, "loser ": 1.0}, ["scum of the pond"]))
     assert m.weigh("Scum, idiots!") == (5.0, 2, 2)
     assert m.weigh("the scum of the pond") == (0, 0, 5)
     assert m.weigh("") == (0, 0, 0)
+    assert m.weigh("1oser") == (1.0, 1, 1)
     assert toxicity.Matcher(toxicity.Lexicon({})).score(0.0) < 0.5
 
 
