@@ -231,8 +231,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, hot_shar
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Long fingerprints: words of 64 bits; bands of so many of their bits, drawn at random, so many bands.
-LONG_WORDS, BAND_BITS, BANDS = 16, 20, 96
+#: Long fingerprints: words of 64 bits; bands of at least so many of their bits, drawn at random; the share of pairs at the least similarity that must meet.
+LONG_WORDS, BAND_BITS, BAND_RECALL = 16, 20, 0.975
+#: Pairs whose estimated similarity is under the one asked for by up to this, or over it by less, are decided by their shingles.
+MARGIN_BELOW, MARGIN_ABOVE = 0.07, 0.08
 #: Two texts of a band go on to the check of their long fingerprints if their first words differ in at most so many bits.
 FIRST_WORD_RADIUS = 20
 
@@ -260,9 +262,17 @@ def _long_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[p
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], ["doc_id", "print"])
 
 
-def band_places(bits: int = BAND_BITS, bands: int = BANDS) -> np.ndarray:
+def band_places(n: int, similarity: float) -> np.ndarray:
+    """Bits of each band, for n texts: wide enough that unrelated texts seldom meet, as many as the recall needs."""
+    bits = max(BAND_BITS, n.bit_length() + 2)
+    equal = (1 - differing_share(similarity)) ** bits
     rng = np.random.default_rng(23)
-    return np.stack([rng.choice(LONG_WORDS * BITS, bits, replace=False) for _ in range(bands)])
+    return np.stack([rng.choice(LONG_WORDS * BITS, bits, replace=False) for _ in range(int(np.ceil(np.log(1 - BAND_RECALL) / np.log1p(-equal))))])
+
+
+def differing_share(similarity: float) -> float:
+    """Of the bits of two texts' fingerprints, by the Jaccard similarity of their shingles."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
 def _band_batches(batches: Iterator[pa.RecordBatch], places: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -311,36 +321,74 @@ def _spoke_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], ["a", "b"])
 
 
-def _distance_batches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _distance_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for n in ("print_a", "print_b"))
-        keep = pa.array(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most)
+        if batch.num_rows:
+            x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for n in ("print_a", "print_b"))
+            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) / (LONG_WORDS * BITS)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far)], ["a", "b", "far"])
+
+
+def _shingle_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, shingles: the sorted distinct 32-bit hashes of a text's shingles."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            found = []
+            for text in part.column("text").to_pylist():
+                words = lowered_words(text)
+                grams = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
+                found.append(np.unique(np.fromiter(map(xxhash.xxh32_intdigest, map(b" ".join, grams)), np.uint32)).tobytes())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "shingles"])
+
+
+def _jaccard_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True):
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both >= similarity * (len(x) + len(y) - both))
+        keep = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _decided(docs: DataFrame, unsure: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts have at least the similarity, by their shingles."""
+    wanted = written(unsure.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id").mapInArrow(partial(_shingle_batches, shingle=shingle), "doc_id long, shingles binary")
+    sets = written(texts.dropDuplicates(["doc_id"]), "shingles")
+    of = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"of_{n}"))
+    return unsure.join(of("a"), "a").join(of("b"), "b").mapInArrow(partial(_jaccard_batches, similarity=similarity), "a long, b long")
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id for each row of docs (doc_id, text): groups of texts alike in so much of their shingles.
 
     For texts whose Jaccard similarity of shingles is only ``similarity``, fingerprints of 64 bits
     differ in some ten bits, far beyond the radius of a tree that still prunes. So fingerprints here
-    have 1024 bits: texts meet where a band of 20 of these bits, drawn at random, is equal (of pairs
-    at 0.8 some 97 of 100 meet in one of the bands, of those at 0.85 over 99.9), each is compared with the centre of
-    those it meets, and linked if the share of differing bits is at most that of the similarity asked
-    for, which it shows with a standard deviation of 0.03. Nulls, copies and repeated rows are as in near_duplicates, except that texts
-    without a word link with nothing.
+    have 1024 bits. Texts meet where a band of their bits, drawn at random, is equal (BAND_RECALL of
+    pairs at the similarity meet in some band, and nearly all of those above it), and each is
+    compared with the centre of those it meets. The share of differing bits shows the similarity
+    with a standard deviation of 0.03: pairs clearly over it are linked, pairs near it that are not
+    in one group yet are decided by their shingles. Nulls, copies and repeated rows are as in
+    near_duplicates, except that texts without a word link with nothing.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    most = int(LONG_WORDS * BITS * np.arccos(cosine) / np.pi)
     prints = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_long_batches, shingle=shingle), "doc_id long, print binary"), "prints")
     nothing = F.lit(bytes(LONG_WORDS * 8))
     distinct = written(prints.where((F.col("print") != nothing) & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("rep")), "distinct")
-    bands = distinct.mapInArrow(partial(_band_batches, places=band_places()), "band long, rep long, fp long")
+    places = band_places(distinct.count(), similarity)
+    bands = distinct.mapInArrow(partial(_band_batches, places=places), "band long, rep long, fp long")
     edges = bands.repartition("band").sortWithinPartitions("band").mapInArrow(_spoke_batches, "a long, b long")
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = edges.join(distinct.select(F.col("rep").alias("a"), F.col("print").alias("print_a")), "a").join(distinct.select(F.col("rep").alias("b"), F.col("print").alias("print_b")), "b")
-    roots = components(pairs.mapInArrow(partial(_distance_batches, most=most), "a long, b long"))
+    of = lambda n: distinct.select(F.col("rep").alias(n), F.col("print").alias(f"print_{n}"))
+    pairs = edges.join(of("a"), "a").join(of("b"), "b").mapInArrow(_distance_batches, "a long, b long, far double")
+    pairs = written(pairs.where(F.col("far") <= differing_share(similarity - MARGIN_BELOW)), "pairs")
+    sure = components(pairs.where(F.col("far") <= differing_share(min(0.999, similarity + MARGIN_ABOVE))).select("a", "b"))
+    root = lambda n: sure.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
+    unsure = pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    more = _decided(docs, written(unsure, "unsure"), shingle, similarity)
+    roots = components(sure.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = written(distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("root", "rep").alias("component_id")), "named")
     return prints.join(named, "print", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
