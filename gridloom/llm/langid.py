@@ -27,7 +27,7 @@ ALPHABET = (1 << BASE_BITS) - 2
 #: The sample has about this many texts of each language, chosen by a hash of doc_id (all, if fewer).
 SAMPLE_TEXTS = 1500
 #: Characters of text scored at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Texts over mean + REJECT_SD * sd + REJECT_SHORT / sqrt(n) of their language's own cross-entropies are rejected: some
 #: twice what the oddest labelled texts have over the mean, and well under what texts in other languages have.
 REJECT_SD, REJECT_SHORT = 20.0, 8.0
@@ -197,21 +197,27 @@ def _letter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["letter", "n"])
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of several texts as one."""
+    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def _gram_batches(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, np.ndarray] = {}
+    counts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             codes = symbols.encode(text or "")
             if len(codes):
-                codes, n = np.unique(grams(codes), return_counts=True)
-                if lang not in counts:
-                    counts[lang] = np.zeros(1 << BASE_BITS * ORDER, np.int32)
-                counts[lang][codes] += n.astype(np.int32)
-    for lang, table in counts.items():
-        codes = np.flatnonzero(table)
+                held = counts.setdefault(lang, [])
+                held.append(np.unique(grams(codes), return_counts=True))
+                if len(held) > 200:
+                    counts[lang] = [_added(held)]
+    for lang, held in counts.items():
+        codes, n = _added(held)
         for at in range(0, len(codes), 50_000):
             part = codes[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(table[part].astype(np.int64))], ["lang", "code", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(n[at : at + 50_000])], ["lang", "code", "n"])
 
 
 def _normal_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
