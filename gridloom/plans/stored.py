@@ -110,8 +110,7 @@ _LATEST = f"{RUNS}, ranked AS (SELECT layer, run_id, cycle, row_number() OVER (P
 
 def latest(spark, d):
     two = publishing.newest(runs(spark, d).where("cycle < timestamp'1995-06-01'"))
-    nth = F.row_number().over(Window.partitionBy("layer").orderBy(F.desc("cycle")))
-    return two.withColumn("nth", nth).groupBy("layer").agg(F.max(F.when(F.col("nth") == 1, F.col("run_id"))).alias("run_id"), F.max(F.when(F.col("nth") == 2, F.col("run_id"))).alias("previous_run_id"))
+    return two.groupBy("layer").agg(F.max(F.when(F.col("nth") == 1, F.col("run_id"))).alias("run_id"), F.max(F.when(F.col("nth") == 2, F.col("run_id"))).alias("previous_run_id"))
 
 
 @query("layer_run_ids", f"WITH {RUNS}, keys AS (SELECT 'forecast-runs/' || run_id || '/manifest.json' AS key FROM named) SELECT DISTINCT regexp_extract(key, '^forecast-runs/(weather-[0-9]{{8}}T[0-9]{{2}}Z)/', 1) AS run_id FROM keys WHERE regexp_matches(key, '^forecast-runs/weather-[0-9]{{8}}T[0-9]{{2}}Z/')".replace("{{", "{").replace("}}", "}"))
@@ -136,8 +135,8 @@ def latest_upsert(spark, d):
 @query("storage_guard", f"WITH {_LATEST}, kept AS (SELECT run_id FROM latest UNION SELECT previous_run_id FROM latest WHERE layer <> 'weather') SELECT n.run_id, CAST(n.bytes AS BIGINT) AS bytes, sum(n.bytes) OVER () + 1000000 > 8000000 AS over_limit FROM named n WHERE n.run_id IN (SELECT run_id FROM kept WHERE run_id IS NOT NULL)")
 def storage_guard(spark, d):
     kept = publishing.retained_bytes(latest(spark, d), runs(spark, d), "weather")
-    total = kept.agg((F.sum("bytes") + 1_000_000 > 8_000_000).alias("over_limit"))  # one row
-    return kept.crossJoin(F.broadcast(total))
+    total = F.sum("bytes").over(Window.partitionBy())  # of two runs for each layer at most
+    return kept.withColumn("over_limit", total + 1_000_000 > 8_000_000)
 
 
 @query("retention_delete", f"WITH {_LATEST} SELECT n.layer, n.run_id FROM named n WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.layer = n.layer AND (l.run_id = n.run_id OR l.previous_run_id = n.run_id))")
