@@ -208,3 +208,40 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
         F.when(F.size("templates") > 0, 1.0).when(F.size("phrases") > 0, 0.5).otherwise(0.0).alias("score"),
     )
+
+
+def template_pattern(markup: str) -> str:
+    """The same places as a regular expression over words with a space around each."""
+    out = " "
+    for i, part in enumerate(_MARK.split(markup)):
+        if i % 2 == 0:
+            out += "".join(f"{w.decode()} " for w in fold(part).split())
+        else:
+            out += {"optional": "(?:", "/optional": ")?"}.get(part) or f"(?:[^ ]+ ){{0,{part.split()[2]}}}"
+    return out
+
+
+def scan_sql() -> str:
+    def places(phrase: str) -> str:
+        words = phrase.split()
+        same = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+        return f"list_filter(range(0, len(w) - {len(words) - 1}), lambda i: {same})"
+
+    base = ", ".join(f"{places(p)} AS p{k}" for k, p in enumerate(BASE_PHRASES))
+    n = range(len(BASE_PHRASES))
+    named = " || ".join(f"CASE WHEN len(p{k}) > 0 THEN ['{label}'] ELSE [] END" for k, label in enumerate(BASE_PHRASES.values()))
+    own = " || ".join(f"CASE WHEN regexp_matches(t, '{template_pattern(m)}') THEN ['{label}'] ELSE [] END" for label, m in TEMPLATES.items())
+    every = " || ".join(f"p{k}" for k in n)
+    return rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), found AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS t, {base} FROM words),
+named AS (SELECT doc_id, w, {every} AS places, {named} AS base, {own} AS own FROM found)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || own)), ',') AS labels,
+       CASE WHEN len(own) > 0 THEN CAST(1 AS DOUBLE) WHEN len(places) > 0 THEN 0.5 ELSE 0 END AS score
+FROM named
+"""
+
+
+ORACLE_SQL = scan_sql()

@@ -226,3 +226,15 @@ def test_template_regions():
     assert where("alpha gamma delta end") == [] and where("alpha delta one two three end") == []
     with pytest.raises(ValueError):
         licenses.Matcher({"t": "<<var x 2>> end"}, {})
+
+
+def test_scan_query_equals_its_sql(spark, make_docs, as_table):
+    import duckdb
+
+    texts = ["Licensed under CC BY-NC 4.0. cc by", "the GNU General Public License, either version 3", "Copyright (c) 2020 Some Body and Co. All rights reserved", "é İ Under the MIT License x", None, "", "all rights\nreserved all rights reserved"]
+    where = as_table(documents=make_docs(texts))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{where}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(licenses.ORACLE_SQL).fetchall(), key=lambda r: r[0])
+    got = sorted(map(tuple, licenses.op9_license_scan(spark, where).collect()))
+    assert got == want
