@@ -199,3 +199,18 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept over the whole embeddings table."""
     found = near_duplicate_links(read(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+#: All pairs of a label: what the filters find if they miss nothing.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT l.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, l.vec_id = l.component_id AS kept FROM least l LEFT JOIN counts c ON c.vec_id = l.vec_id
+"""

@@ -14,4 +14,4 @@ QUERIES = {
     "op9_license_scan": licenses.op9_license_scan,
     "op10_nearest": routing.op10_nearest,
 }
-ORACLE_SQL = {"op9_license_scan": licenses.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL, "op4_substring_dedup": substring.ORACLE_SQL}
+ORACLE_SQL = {"op6_embedding_dedup": caps.ORACLE_SQL, "op9_license_scan": licenses.ORACLE_SQL, "op3_warc": warc.ORACLE_SQL, "op7_mixing": mixing.ORACLE_SQL, "op4_substring_dedup": substring.ORACLE_SQL}
