@@ -1,23 +1,16 @@
 import os
 import sys
-from datetime import UTC, datetime
 from pathlib import Path
 
-import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from gridloom.catalog import Variable  # noqa: E402
+from cubes import WEATHER, WEATHER_AXES, cells_of, weather_arrays  # noqa: E402
+
 from gridloom.session import local_session, ship  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-CYCLE = datetime(2026, 7, 13, 6, tzinfo=UTC)
-WEATHER = [Variable("wind_u_kt", "hourly", "i16", 0.01), Variable("wind_v_kt", "hourly", "i16", 0.01), Variable("gust_kt", "hourly", "i16", 0.1), Variable("visibility_m", "h3", "i16", 50)]
-WEATHER_AXES = {"hourly": [0, 1, 2], "h3": [0, 3]}
-ENSEMBLE = [Variable("wind_kt_mean", "steps", "i16", 0.01), Variable("wind_kt_anom", "steps", "i8", 0.2, per_member=True)]
-ENSEMBLE_AXES = {"steps": [0, 3, 6]}
-CELL_SCHEMA = "variable string, member int, step_h int, i int, j int, lat double, lon double, value float"
 
 
 @pytest.fixture(scope="session")
@@ -33,36 +26,6 @@ def sf_dir():
     return SF
 
 
-def cells_of(spark, arrays, axes_of, axes, lat0=40.0, lon0=-10.0, step=2.5):
-    """Cells of arrays [member?, step, lat, lon] by variable; NaN is null."""
-    rows = []
-    for name, values in arrays.items():
-        hours = axes[axes_of[name]]
-        for place in np.ndindex(*values.shape):
-            member = place[0] if values.ndim == 4 else None
-            t, i, j = place[-3:]
-            v = float(values[place])
-            rows.append((name, member, hours[t], i, j, lat0 + i * step, lon0 + j * step, None if np.isnan(v) else v))
-    return spark.createDataFrame(rows, CELL_SCHEMA)
-
-
-def weather_arrays(missing_east=False):
-    rng = np.random.default_rng(42)
-    u, v = (rng.uniform(-30, 30, (3, 4, 8)).astype(np.float32) for _ in range(2))
-    out = {"wind_u_kt": u, "wind_v_kt": v, "gust_kt": (np.hypot(u, v) + 2).astype(np.float32), "visibility_m": rng.uniform(0, 50_000, (2, 4, 8)).astype(np.float32)}
-    for x in (u, v, out["gust_kt"]):
-        x[0, 0, 0] = np.nan
-    if missing_east:
-        for x in out.values():
-            x[..., 4:] = np.nan
-    return out
-
-
-def ensemble_arrays():
-    rng = np.random.default_rng(7)
-    return {"wind_kt_mean": rng.uniform(5, 30, (3, 4, 4)).astype(np.float32), "wind_kt_anom": rng.uniform(-10, 10, (5, 3, 4, 4)).astype(np.float32)}
-
-
 @pytest.fixture
 def weather(spark):
     return cells_of(spark, weather_arrays(), {v.name: v.axis for v in WEATHER}, WEATHER_AXES)

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import ENSEMBLE, ENSEMBLE_AXES, WEATHER, WEATHER_AXES, cells_of, ensemble_arrays, weather_arrays
+from cubes import ENSEMBLE, ENSEMBLE_AXES, WEATHER, WEATHER_AXES, cells_of, ensemble_arrays, weather_arrays
 
 from gridloom.catalog import Variable
 from gridloom.operators import axes, ensemble
