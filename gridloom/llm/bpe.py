@@ -188,8 +188,10 @@ def encode_decode(docs: DataFrame, spec: str | None = None, outputs: tuple[str,
     """
     spec = spec or _default_spec()
     docs = docs.drop("n_tokens", *OUTPUTS).withColumn("text", F.col("text").cast("string"))
-    codec = _Codec(spec, {})
-    table = {r["word"]: codec.entry(list(r["ids"]))[:2] + (" ".join(r["pieces"]),) for r in word_table(docs, spec, table_words).toLocalIterator()}
+    table = {}
+    for batch in word_table(docs, spec, table_words).toArrow().to_batches(max_chunksize=2000):
+        words, ids, pieces = (batch.column(n).to_pylist() for n in ("word", "ids", "pieces"))
+        table |= {w: (len(i), " ".join(map(str, i)), " ".join(p)) for w, i, p in zip(words, ids, pieces, strict=True)}
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"] + ["n_tokens long", *(f"{x} {OUTPUTS[x]}" for x in outputs)])
     return docs.mapInArrow(partial(_code_batches, spec=spec, table=docs.sparkSession.sparkContext.broadcast(table), outputs=outputs), schema)
 
