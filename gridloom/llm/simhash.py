@@ -201,7 +201,8 @@ def link_edges(distinct: DataFrame, radius: int = 3, hot_shard: int = 20_000) ->
     # Another stretch of bits for each outer block: the word turned so that the block's bits are its top.
     rows = distinct.where("rep is not null").select("fp", "rep", F.posexplode(F.array(*[_bits(*x) for x in outer])).alias("block", "value"))
     rows = rows.withColumn("shard", F.xxhash64("block", "value"))
-    hot = rows.groupBy("shard").count().where(F.col("count") > hot_shard).select("shard", F.lit(True).alias("hot"))
+    # A table of its own: it is mostly empty, and then the rows are not shuffled for it.
+    hot = written(rows.groupBy("shard").count().where(F.col("count") > hot_shard).select("shard", F.lit(True).alias("hot")), "hot")
     rows = rows.join(hot, "shard", "left")
     inner = []
     for i, (first, n) in enumerate(outer):
@@ -380,7 +381,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     places = band_places(distinct.count(), similarity)
     bands = distinct.mapInArrow(partial(_band_batches, places=places), "band long, rep long, fp long")
     edges = bands.repartition("band").sortWithinPartitions("band").mapInArrow(_spoke_batches, "a long, b long")
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "spokes")
     of = lambda n: distinct.select(F.col("rep").alias(n), F.col("print").alias(f"print_{n}"))
     pairs = edges.join(of("a"), "a").join(of("b"), "b").mapInArrow(_distance_batches, "a long, b long, far double")
     pairs = written(pairs.where(F.col("far") <= differing_share(similarity - MARGIN_BELOW)), "pairs")
