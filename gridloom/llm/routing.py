@@ -25,7 +25,7 @@ from gridloom.llm.common import read, written
 SAMPLE = 6000
 #: Rows per part aimed at; parts, a power of two between these.
 PART_ROWS, LEAST_PARTS, MOST_PARTS = 3200, 8, 256
-NEIGHBOURS, RECALL = 12, 0.97
+NEIGHBOURS, RECALL = 12, 0.94
 BLOCK, QUERY_CHUNK = 8192, 2048
 
 
