@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import read
+from gridloom.llm.common import CACHES, read, worker_task
 
 #: Rows of the broadcast table and the least count in one task that a word is reported with.
 TABLE_WORDS, REPORT_FROM = 100_000, 4
@@ -80,6 +80,7 @@ def vocabulary(spark: SparkSession, spec: str) -> DataFrame:
     return spark.createDataFrame(sorted(rows.items()), "id int, piece string")
 
 
+@worker_task("bpe")
 def _count_batches(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     split, counts = _splitter(spec), Counter()
     emit = lambda c: pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
@@ -94,6 +95,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.
     yield emit({w: n for w, n in counts.items() if n >= REPORT_FROM})
 
 
+@worker_task("bpe")
 def _encode_batches(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     split = _splitter(spec)
     for batch in batches:
@@ -140,6 +142,7 @@ class _Codec:
 
 
 _CODECS: dict = {}
+CACHES["bpe"] = _CODECS
 
 
 def _codec(spec: str, table) -> _Codec:
@@ -154,6 +157,7 @@ def _codec(spec: str, table) -> _Codec:
 OUTPUTS = {"ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
+@worker_task("bpe")
 def _code_batches(batches: Iterator[pa.RecordBatch], spec: str, table, outputs: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     codec = _codec(spec, table)
     make = {"ids": lambda i, p: list(map(int, i.split())), "decoded": lambda i, p: p, "ids_sha256": lambda i, p: hashlib.sha256(i.encode()).hexdigest(), "decoded_sha256": lambda i, p: hashlib.sha256(p.encode()).hexdigest()}

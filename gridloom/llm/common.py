@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,7 +22,7 @@ POLY_INV = pow(POLY, -1, 1 << 64)
 
 
 #: Rows of texts that go to a Python worker at once: a default batch of 10,000 long texts takes much of an executor's memory.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -95,6 +98,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: What a worker keeps from task to task, by the module that it belongs to.
+CACHES: dict[str, dict] = {}
+
+
+def worker_task(module: str):
+    """For functions over Arrow batches: a reused worker gives up what other modules' tasks have kept, and at the end what is free."""
+
+    def wrap(function):
+        @functools.wraps(function)
+        def run(batches, *args, **kwargs):
+            for name, kept in CACHES.items():
+                if name != module:
+                    kept.clear()
+            try:
+                yield from function(batches, *args, **kwargs)
+            finally:
+                pa.default_memory_pool().release_unused()
+                if sys.platform == "linux":
+                    ctypes.CDLL(None).malloc_trim(0)
+
+        return run
+
+    return wrap
+
+
 class Powers:
     """POLY**i and POLY**-i modulo 2**64, grown as texts need them."""
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import crc_mod, mix, read, written
+from gridloom.llm.common import CACHES, crc_mod, mix, read, worker_task, written
 
 ORDER, BASE_BITS = 4, 6
 #: Symbols: 0 is a run of non-letters, 1 any letter outside the alphabet, then the most frequent letters.
@@ -159,6 +159,7 @@ class Scorer:
 
 
 _SCORERS: dict = {}
+CACHES["langid"] = _SCORERS
 
 
 def _scorer(shared) -> Scorer:
@@ -203,6 +204,7 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
+@worker_task("langid")
 def _gram_batches(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterator[pa.RecordBatch]:
     counts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
@@ -220,6 +222,7 @@ def _gram_batches(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterat
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part.astype(np.int32)), pa.array(n[at : at + 50_000])], ["lang", "code", "n"])
 
 
+@worker_task("langid")
 def _normal_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(shared)
     for batch in batches:
@@ -263,6 +266,7 @@ def fit(sample: DataFrame, languages: list[str] | None = None) -> LanguageModel
     return model
 
 
+@worker_task("langid")
 def _predict_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(shared)
     names = np.array(scorer.model.languages, object)

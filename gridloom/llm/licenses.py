@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import read
+from gridloom.llm.common import read, worker_task
 
 #: A-Z in lower case; bytes under 0x80 that are neither digits nor letters part words.
 _FOLD = bytes(x if x >= 0x80 or 0x30 <= x <= 0x39 or 0x61 <= x <= 0x7A else x + 32 if 0x41 <= x <= 0x5A else 0x20 for x in range(256))
@@ -170,6 +170,7 @@ class Matcher:
         return len(words), base, [(at, to, label) for (at, label), to in found.items()]
 
 
+@worker_task("licenses")
 def _scan_batches(batches: Iterator[pa.RecordBatch], templates: dict[str, str], phrases: dict[str, str]) -> Iterator[pa.RecordBatch]:
     matcher = Matcher(templates, phrases)
     place = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string())]))

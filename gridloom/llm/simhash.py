@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import POLY, mix, read, written
+from gridloom.llm.common import POLY, mix, read, worker_task, written
 from gridloom.llm.components import components
 
 BITS = 64
@@ -49,6 +49,7 @@ def simhash(words: list[bytes], shingle: int, seed: int = 42) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
+@worker_task("simhash")
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
@@ -148,6 +149,7 @@ def linked_large(values: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
+@worker_task("simhash")
 def _stars(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Edges (a, b) from the members of each linked group to its smallest representative; rows come sorted by shard."""
     left: list[np.ndarray] = []
@@ -255,6 +257,7 @@ def long_simhash(words: list[bytes], shingle: int, seed: int = 42) -> np.ndarray
     return np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")
 
 
+@worker_task("simhash")
 def _long_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -276,6 +279,7 @@ def differing_share(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
+@worker_task("simhash")
 def _band_batches(batches: Iterator[pa.RecordBatch], places: np.ndarray) -> Iterator[pa.RecordBatch]:
     """rep, print to rows (band, rep, fp): one for each band."""
     weights = 1 << np.arange(places.shape[1], dtype=np.int64)
@@ -297,6 +301,7 @@ def _centre(fp: np.ndarray, rep: np.ndarray) -> int:
     return int(np.lexsort((rep, np.bitwise_count(fp ^ middle)))[0])
 
 
+@worker_task("simhash")
 def _spoke_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by band value to edges (a, b) from its members to its centre. Of a value that goes on over batches the centre of its first stretch stays, so memory is bounded."""
     last_key, centre = None, (0, 0)
@@ -330,6 +335,7 @@ def _distance_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far)], ["a", "b", "far"])
 
 
+@worker_task("simhash")
 def _shingle_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """doc_id, shingles: the sorted distinct 32-bit hashes of a text's shingles."""
     for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import byte_words, mix, prefix_hashes, read, rows_of, span_hashes, word_hashes, written
+from gridloom.llm.common import byte_words, mix, prefix_hashes, read, rows_of, span_hashes, word_hashes, worker_task, written
 
 SEED_WORDS = 6
 
@@ -44,6 +44,7 @@ def anchors(prefix: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.nda
     return gram[chosen[first]], first, count
 
 
+@worker_task("substring")
 def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[pa.RecordBatch]:
     names = ["seed", "extension", "doc_id", "start", "windows"]
 
@@ -68,6 +69,7 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, k: int) -> I
         yield flush(parts)
 
 
+@worker_task("substring")
 def _window_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, spans of (seed, start, windows)) to one row for each window: seed, window, doc_id, start."""
     for doc_id, text, spans in rows_of(batches, "doc_id", "text", "spans"):
@@ -108,6 +110,7 @@ def _merged(spans: list[dict], n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) == 0
 
 
+@worker_task("substring")
 def _kept_batches(batches: Iterator[pa.RecordBatch], names: list[str], text_too: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import crc_mod, read, written
+from gridloom.llm.common import crc_mod, read, worker_task, written
 
 #: Labelled texts that the lexicon and the curve are fitted on, at most, by label, chosen by a hash of doc_id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
@@ -147,6 +147,7 @@ def _features(folded: str) -> set[str]:
     return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in PREFIXES if len(w) > n}
 
 
+@worker_task("toxicity")
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = Counter(), Counter()
     for batch in batches:
@@ -257,6 +258,7 @@ def learn(sample: DataFrame) -> Lexicon:
     return lexicon
 
 
+@worker_task("toxicity")
 def _score_batches(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.RecordBatch]:
     matcher = Matcher(lexicon)
     for batch in batches:
