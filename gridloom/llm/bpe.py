@@ -27,8 +27,8 @@ from gridloom.llm.common import CACHES, read, worker_task
 
 #: Rows of the broadcast table and the least count in one task that a word is reported with.
 TABLE_WORDS, REPORT_FROM = 100_000, 4
-#: Words that a task remembers beyond the table before it starts anew.
-MEMO_WORDS = 400_000
+#: Words that a task remembers beyond the table, and words that it counts, before it starts anew.
+MEMO_WORDS, COUNT_WORDS = 200_000, 400_000
 #: Characters that the fast path knows: NFC leaves them alone and lower case is one to one and the same everywhere.
 _ODD = re.compile("[^\x00-įı-ž]")
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
@@ -89,7 +89,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.
             for i, part in enumerate(split.segments(text)):
                 if i % 2 == 0:
                     counts.update(split.words(part))
-            if len(counts) > MEMO_WORDS:
+            if len(counts) > COUNT_WORDS:
                 yield emit({w: n for w, n in counts.items() if n >= REPORT_FROM})
                 counts = Counter()
     yield emit({w: n for w, n in counts.items() if n >= REPORT_FROM})
