@@ -4,9 +4,12 @@ Filter directions are the structured product of random unit codes over blocks of
 (after a random rotation): a direction is one code word of each block. A vector is list-decoded to
 all directions whose cap it lies in, that is, whose inner product exceeds the threshold; the search
 goes block by block and drops what the best words of the blocks left cannot lift over it. Vectors
-that are near lie in many caps together, others seldom in one. Vectors meet by the words of all
-blocks but the last, so one row stands for many filters; all pairs that meet, those that share a
-filter among them, are verified by their cosine in double precision.
+that are near lie in many caps together, others seldom in one. How many caps a vector lies in varies
+the more the more directions there are, so a vector's threshold is lowered to its own best `least`
+directions where it lies in fewer; `least` is raised until probe pairs at the cosine asked for all
+meet, whatever the number of directions. Vectors meet by the words of all blocks but the last, so
+one row stands for many filters; all pairs that meet, those that share a filter among them, are
+verified by their cosine in double precision.
 
 Equal vectors of a label are one node with a count. A pair met under several filters counts where
 its least common words are. Groups are cut into chunks that are compared two by two, so no task
@@ -30,6 +33,8 @@ from gridloom.llm.components import components
 
 #: Independent codes; filters per vector and code on average; vectors per filter aimed at; code words per block at most.
 CODES, FILTERS, BUCKET, WORDS = 4, 16.0, 24.0, 64
+#: Directions of each code that a vector has at least, to begin with; pairs at the cosine that must all meet, or this is doubled.
+LEAST, PROBES = 8, 2000
 #: Vectors of a group that are compared with as many others at once.
 CHUNK = 4096
 
@@ -37,9 +42,10 @@ CHUNK = 4096
 class ProductCode:
     """Blocks of unit code words; decode gives all directions over the threshold."""
 
-    def __init__(self, dim: int, n: int, seed: int = 11, filters: float = FILTERS, bucket: float = BUCKET) -> None:
+    def __init__(self, dim: int, n: int, seed: int = 11, filters: float = FILTERS, bucket: float = BUCKET, least: int = LEAST) -> None:
         """n: vectors of the largest label; more vectors get more directions, in more blocks where WORDS is not enough."""
         rng = np.random.default_rng(seed)
+        self.least = least
         wanted = max(64.0, n * filters / bucket)
         self.blocks = max(2, min(math.ceil(math.log(wanted, WORDS)), max(2, dim // 4)))
         self.words = int(min(WORDS, max(8, math.ceil(wanted ** (1 / self.blocks)))))
@@ -60,25 +66,56 @@ class ProductCode:
         turned = unit @ self.turn
         return [turned[:, lo:hi] @ c.T for lo, hi, c in zip(self.cut, self.cut[1:], self.code, strict=False)]
 
+    def thresholds(self, parts: list[np.ndarray]) -> np.ndarray:
+        """For each vector the threshold, or the score of its best direction number `least` if that is lower."""
+        top = -np.sort(-parts[0], axis=1)[:, : self.least]
+        for part in parts[1:]:
+            sums = top[:, :, None] + -np.sort(-part, axis=1)[:, None, : self.least]
+            top = -np.sort(-sums.reshape(len(part), -1), axis=1)[:, : self.least]
+        return np.minimum(self.threshold, top[:, -1] - 1e-12)  # sums in another order differ by less
+
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each vector and prefix (words of all blocks but the last) with a direction over the threshold: vector, prefix, number of such directions."""
+        """For each vector and prefix (words of all blocks but the last) with a direction over the vector's threshold: vector, prefix, number of such directions."""
         parts = self.scores(unit)
+        threshold = self.thresholds(parts)
         best = np.cumsum([p.max(axis=1) for p in parts[::-1]], axis=0)[::-1]
         who, prefix, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
         for b, part in enumerate(parts[:-1]):
             reach = total[:, None] + part[who]
-            row, word = np.nonzero(reach + best[b + 1][who][:, None] >= self.threshold)
+            row, word = np.nonzero(reach + best[b + 1][who][:, None] >= threshold[who][:, None])
             total, prefix, who = reach[row, word], prefix[row] * self.words + word, who[row]
-        filters = (total[:, None] + parts[-1][who] >= self.threshold).sum(axis=1)
+        filters = (total[:, None] + parts[-1][who] >= threshold[who][:, None]).sum(axis=1)
         keep = filters > 0
         return who[keep], prefix[keep], filters[keep]
 
 
+def probe_pairs(dim: int, cosine: float, n: int = PROBES, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and for each another one at the cosine."""
+    a, b = np.random.default_rng(seed).normal(size=(2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+    return a, cosine * a + math.sqrt(max(0.0, 1 - cosine**2)) * b
+
+
 class CodeSet:
-    """Independent codes: how many caps of one code a vector lies in varies much, so that some lie in none; few lie in none of several."""
+    """Independent codes; a vector has the least number of directions in each."""
 
-    def __init__(self, dim: int, n: int, codes: int = CODES, filters: float = FILTERS) -> None:
+    def __init__(self, dim: int, n: int, codes: int = CODES, filters: float = FILTERS, cosine: float = 0.98) -> None:
         self.codes = [ProductCode(dim, n, seed, filters) for seed in range(11, 11 + codes)]
+        a, b = probe_pairs(dim, cosine)
+        while not self.met(a, b).all() and any(c.least < c.words**c.blocks for c in self.codes):
+            for c in self.codes:
+                c.least *= 2
+
+    def met(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the unit vectors a[i] and b[i] share a prefix."""
+        out = np.zeros(len(a), bool)
+        for code in self.codes:
+            of = code.words ** (code.blocks - 1)
+            x, y = (who * of + prefix for who, prefix, _ in (code.decode(a), code.decode(b)))
+            out[np.intersect1d(x, y) // of] = True
+        return out
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As of one code, in the order of the vectors; prefixes of different codes differ."""
@@ -169,7 +206,7 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     groups = clean.groupBy("label", "dim", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
     groups = written(groups, "vectors")
     largest = groups.groupBy("label", "dim").count().groupBy("dim").agg(F.max("count").alias("n")).collect()  # one row for each dimension in use
-    code_sets = {r["dim"]: CodeSet(r["dim"], r["n"], codes, filters) for r in largest}
+    code_sets = {r["dim"]: CodeSet(r["dim"], r["n"], codes, filters, cosine) for r in largest}
     kind = dict(clean.dtypes)["embedding"]
     fields = f"rep long, label long, dim int, size long, embedding {kind}, prefixes array<long>"
     decoded = groups.select("rep", "label", "dim", "size", "embedding").mapInArrow(partial(_decode_batches, codes=code_sets), fields)

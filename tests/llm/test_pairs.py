@@ -229,3 +229,14 @@ def test_balanced_parts_are_balanced_and_cut_few_edges():
     label = routing.balanced_parts(x, graph, 8)
     assert set(np.bincount(label)) == {50}
     assert (label[graph] == label[:, None]).mean() > 0.8
+
+
+def test_caps_of_large_tables_miss_no_pair():
+    a, b = np.random.default_rng(1).normal(size=(2, 1000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    codes = caps.CodeSet(64, 2_000_000)
+    (who, prefix, _), (other, met, _) = codes.decode(a), codes.decode(b)
+    assert set(who) == set(range(1000))
+    assert {i for i, _ in set(zip(who, prefix, strict=True)) & set(zip(other, met, strict=True))} == set(range(1000))
