@@ -236,10 +236,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, hot_shar
 
 #: Long fingerprints: words of 64 bits; bands of at least so many of their bits, drawn at random; the share of pairs at the least similarity that must meet.
 LONG_WORDS, BAND_BITS, BAND_RECALL = 16, 20, 0.975
-#: Pairs whose estimated similarity is under the one asked for by up to this, or over it by less, are decided by their shingles.
-MARGIN_BELOW, MARGIN_ABOVE = 0.07, 0.08
+#: Pairs whose estimated similarity is under the one asked for by up to this, or over it, are decided by their shingles.
+MARGIN_BELOW = 0.07
 #: Two texts of a band go on to the check of their long fingerprints if their first words differ in at most so many bits.
 FIRST_WORD_RADIUS = 20
+#: Bands of up to so many texts lose those that are near no other by their first words; members of a band that are compared with as many others at once.
+SMALL_BAND, BAND_CHUNK = 32, 4096
 
 
 def long_simhash(words: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
@@ -294,45 +296,101 @@ def _band_batches(batches: Iterator[pa.RecordBatch], places: np.ndarray) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(part.column("rep").to_numpy(), n)), pa.array(np.repeat(first, n))], ["band", "rep", "fp"])
 
 
-def _centre(fp: np.ndarray, rep: np.ndarray) -> int:
-    """The member nearest to the majority of all members' bits: the text that the others were made from, if there is one."""
-    total = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    middle = np.packbits(2 * total > len(fp), bitorder="little").view("<u8")[0]
-    return int(np.lexsort((rep, np.bitwise_count(fp ^ middle)))[0])
+def _met(band: np.ndarray, fp: np.ndarray, large: int | None) -> np.ndarray:
+    """Which rows, sorted by band, have a near one in their band; all of the band `large` and of any with over SMALL_BAND rows."""
+    _, inverse, sizes = np.unique(band, return_inverse=True, return_counts=True)
+    keep = (sizes[inverse] > SMALL_BAND) | (band == large if large is not None else False)
+    for k in range(1, min(SMALL_BAND, len(band))):
+        near = band[k:] == band[:-k]
+        if not near.any():
+            break
+        near &= np.bitwise_count(fp[k:] ^ fp[:-k]) <= FIRST_WORD_RADIUS
+        keep[k:] |= near
+        keep[:-k] |= near
+    return keep
 
 
 @worker_task("simhash")
-def _spoke_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band value to edges (a, b) from its members to its centre. Of a value that goes on over batches the centre of its first stretch stays, so memory is bounded."""
-    last_key, centre = None, (0, 0)
+def _meeting_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (band, rep, fp) sorted by band to those (band, rep) that may be near another of their band. A band that goes on over batches passes whole, so memory is bounded."""
+    held, large = [np.zeros(0, np.int64)] * 3, None
+    out = lambda band, rep, keep: pa.RecordBatch.from_arrays([pa.array(band[keep]), pa.array(rep[keep])], ["band", "rep"])
     for batch in batches:
-        band, rep = batch.column("band").to_numpy(), batch.column("rep").to_numpy()
-        fp = batch.column("fp").to_numpy().view(np.uint64)
-        cuts = np.flatnonzero(np.diff(band)) + 1
-        a, b = [], []
-        for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(band)), strict=True):
-            if lo == hi:
-                continue
-            if band[lo] != last_key:
-                if hi - lo == 1:
-                    last_key, centre = band[lo], (rep[lo], fp[lo])
-                    continue
-                at = _centre(fp[lo:hi], rep[lo:hi]) if hi - lo > 2 else int(rep[lo + 1] < rep[lo])
-                last_key, centre = band[lo], (rep[lo + at], fp[lo + at])
-            near = rep[lo:hi][(np.bitwise_count(fp[lo:hi] ^ centre[1]) <= FIRST_WORD_RADIUS) & (rep[lo:hi] != centre[0])]
-            a.append(near)
-            b.append(np.full(len(near), centre[0]))
-        if a:
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].astype(np.int64)), pa.array(pairs[:, 1].astype(np.int64))], ["a", "b"])
-
-
-def _distance_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band, rep, fp = (np.concatenate([x, batch.column(n).to_numpy()]) for n, x in zip(("band", "rep", "fp"), held, strict=True))
+        if not len(band):
+            continue
+        end = int(np.searchsorted(band, band[-1]))
+        if len(band) - end > SMALL_BAND or band[-1] == large:
+            yield out(band, rep, _met(band, fp.view(np.uint64), band[-1] if band[-1] == large or len(band) - end > SMALL_BAND else large) | (band == large if large is not None else False))
+            large, end = band[-1], len(band)
+        elif end:
+            yield out(band[:end], rep[:end], _met(band[:end], fp[:end].view(np.uint64), large))
+        held = [band[end:], rep[end:], fp[end:]]
+    if len(held[0]):
+        yield out(held[0], held[1], _met(held[0], held[2].view(np.uint64), large))
+
+
+def _near_pairs(unit, cross, chunk, rep, root, prints, limit: int, every: bool) -> Iterator[np.ndarray]:
+    """Pairs (larger rep, smaller rep) of rows sorted by unit that differ in at most so many bits: all between different roots, or of each row only the nearest."""
+
+    def chosen(i, j, far):
+        i, j = np.where(rep[i] > rep[j], i, j), np.where(rep[i] > rep[j], j, i)
+        if not every:
+            order = np.lexsort((rep[j], far, i))
+            first = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+            i, j = i[first], j[first]
+        return np.stack([rep[i], rep[j]], axis=1)
+
+    fits = lambda i, j: (rep[i] != rep[j]) & (~cross[i] | (chunk[i] != chunk[j])) & ((root[i] != root[j]) | (not every))
+    far_of = lambda i, j: np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.int64)
+    starts = np.append(0, np.flatnonzero(np.diff(unit)) + 1)
+    sizes = np.diff(np.append(starts, len(unit)))
+    small = np.repeat(sizes <= SMALL_BAND, sizes)
+    found = [[np.zeros(0, np.int64)] * 3]
+    for k in range(1, min(SMALL_BAND, len(unit))):
+        i = np.flatnonzero(small[k:] & (unit[k:] == unit[:-k]))
+        if not len(i):
+            break
+        i = i[fits(i, i + k)]
+        far = far_of(i, i + k)
+        found.append([i[far <= limit], i[far <= limit] + k, far[far <= limit]])
+    yield chosen(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    for lo, n in zip(starts[sizes > SMALL_BAND], sizes[sizes > SMALL_BAND], strict=True):
+        rows = np.arange(lo, lo + n)
+        for at in range(0, n, 256):
+            some = rows[at : at + 256]
+            far = sum(np.bitwise_count(prints[some, w][:, None] ^ prints[rows, w][None, :]).astype(np.int64) for w in range(LONG_WORDS))
+            x, y = np.nonzero((far <= limit) & (rep[some][:, None] > rep[rows][None, :]))
+            pick = fits(some[x], rows[y])
+            x, y = x[pick], y[pick]
+            yield chosen(some[x], rows[y], far[x, y])
+
+
+@worker_task("simhash")
+def _pair_batches(batches: Iterator[pa.RecordBatch], limit: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit (a band's chunk, or two of its chunks) to pairs (a, b); a unit is held whole, two chunks at most."""
+    names = ("unit", "cross", "chunk", "rep", "root", "print")
+    held = None
+
+    def pairs(table: pa.Table):
+        columns = [table[n].to_numpy() for n in names[:5]]
+        prints = np.frombuffer(b"".join(table["print"].to_pylist()), np.uint64).reshape(-1, LONG_WORDS)
+        for found in _near_pairs(*columns, prints, limit, every):
+            if len(found):
+                found = np.unique(found, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
     for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for n in ("print_a", "print_b"))
-            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) / (LONG_WORDS * BITS)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far)], ["a", "b", "far"])
+        part = pa.Table.from_batches([batch]).select(names)
+        held = pa.concat_tables([held, part]) if held is not None else part
+        if not part.num_rows or held["unit"][0] == held["unit"][-1]:
+            continue
+        unit = held["unit"].to_numpy()
+        end = int(np.searchsorted(unit, unit[-1]))
+        yield from pairs(held.slice(0, end))
+        held = held.slice(end)
+    if held is not None and held.num_rows:
+        yield from pairs(held)
 
 
 @worker_task("simhash")
@@ -375,10 +433,11 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     For texts whose Jaccard similarity of shingles is only ``similarity``, fingerprints of 64 bits
     differ in some ten bits, far beyond the radius of a tree that still prunes. So fingerprints here
     have 1024 bits. Texts meet where a band of their bits, drawn at random, is equal (BAND_RECALL of
-    pairs at the similarity meet in some band, and nearly all of those above it), and each is
-    compared with the centre of those it meets. The share of differing bits shows the similarity
-    with a standard deviation of 0.03: pairs clearly over it are linked, pairs near it that are not
-    in one group yet are decided by their shingles. Nulls, copies and repeated rows are as in
+    pairs at the similarity meet in some band, and nearly all of those above it). The share of
+    differing bits shows the similarity with a standard deviation of 0.03; pairs not clearly under
+    it are decided by their shingles: first of each text the nearest that it meets in a band, then
+    all pairs that meet and are not in one group yet, so that large groups of copies need no pairs
+    of all with all. Large bands are compared by chunks. Nulls, copies and repeated rows are as in
     near_duplicates, except that texts without a word link with nothing.
     """
     prints = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_long_batches, shingle=shingle), "doc_id long, print binary"), "prints")
@@ -386,16 +445,26 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     distinct = written(prints.where((F.col("print") != nothing) & F.col("doc_id").isNotNull()).groupBy("print").agg(F.min("doc_id").alias("rep")), "distinct")
     places = band_places(distinct.count(), similarity)
     bands = distinct.mapInArrow(partial(_band_batches, places=places), "band long, rep long, fp long")
-    edges = bands.repartition("band").sortWithinPartitions("band").mapInArrow(_spoke_batches, "a long, b long")
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "spokes")
-    of = lambda n: distinct.select(F.col("rep").alias(n), F.col("print").alias(f"print_{n}"))
-    pairs = edges.join(of("a"), "a").join(of("b"), "b").mapInArrow(_distance_batches, "a long, b long, far double")
-    pairs = written(pairs.where(F.col("far") <= differing_share(similarity - MARGIN_BELOW)), "pairs")
-    sure = components(pairs.where(F.col("far") <= differing_share(min(0.999, similarity + MARGIN_ABOVE))).select("a", "b"))
-    root = lambda n: sure.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
-    unsure = pairs.select("a", "b").join(root("a"), "a", "left").join(root("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    more = _decided(docs, written(unsure, "unsure"), shingle, similarity)
-    roots = components(sure.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    meets = written(bands.repartition("band").sortWithinPartitions("band").mapInArrow(_meeting_batches, "band long, rep long"), "meets")
+    chunks = meets.groupBy("band").count().where("count > 1").select("band", F.ceil(F.col("count") / BAND_CHUNK).cast("int").alias("chunks"))
+    # What joins back is a table of its own: adaptive skew handling splits a hot key only between plain exchanges.
+    members = meets.join(written(chunks, "chunks"), "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    members = members.select("band", "rep", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
+    members = members.select("rep", "chunk", (F.col("chunk") != F.col("other")).alias("cross"), F.xxhash64("band", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"))
+    # A chunk with itself has one row of each member, two chunks one of each member of both.
+    members = written(members, "members")
+    limit = int(differing_share(similarity - MARGIN_BELOW) * LONG_WORDS * BITS)
+
+    def candidates(roots: DataFrame | None) -> DataFrame:
+        known = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left") if roots else distinct.withColumn("root", F.col("rep"))
+        known = written(known.select("rep", "print", F.coalesce("root", "rep").alias("root")), "known")
+        rows = members.join(known, "rep").repartition("unit").sortWithinPartitions("unit")
+        found = rows.mapInArrow(partial(_pair_batches, limit=limit, every=roots is not None), "a long, b long").distinct()
+        return written(_decided(docs, written(found, "pairs"), shingle, similarity), "decided")
+
+    first = candidates(None)
+    roots = components(first)
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(candidates(roots)))
     named = written(distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("root", "rep").alias("component_id")), "named")
     return prints.join(named, "print", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 

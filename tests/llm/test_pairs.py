@@ -240,3 +240,19 @@ def test_caps_of_large_tables_miss_no_pair():
     (who, prefix, _), (other, met, _) = codes.decode(a), codes.decode(b)
     assert set(who) == set(range(1000))
     assert {i for i, _ in set(zip(who, prefix, strict=True)) & set(zip(other, met, strict=True))} == set(range(1000))
+
+
+@pytest.mark.parametrize("chunk", [4096, 40])
+def test_near_copies_within_a_family_are_found(spark, make_docs, monkeypatch, chunk):
+    monkeypatch.setattr(simhash, "BAND_CHUNK", chunk)
+    shared = [f"s{i}" for i in range(420)]
+    texts = []
+    for i in range(300):
+        own = [f"o{i}_{k}" for k in range(75)]
+        texts += [" ".join(shared + own), " ".join(shared + own[:35] + [f"c{i}_{k}" for k in range(40)])]
+    grams = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    alike = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+    assert alike(0, 1) > 0.84 and alike(0, 2) < 0.74
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(make_docs(texts)).collect()}
+    assert sum(found[i + 1] == i for i in range(0, 600, 2)) >= 291
+    assert all(found[i] in (i, i - 1) for i in range(600))
