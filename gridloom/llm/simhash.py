@@ -245,11 +245,11 @@ SMALL_BAND, BAND_CHUNK = 32, 4096
 
 
 def long_simhash(words: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
-    """LONG_WORDS fingerprint words, each the majority of another mixing of the shingles' hashes; the first is simhash()'s."""
+    """LONG_WORDS fingerprint words, each the majority of another mixing of the distinct shingles' hashes: repeats don't count, as in the similarity of sets."""
     if not words:
         return np.zeros(LONG_WORDS, np.uint64)
     shingles = zip(*(words[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, shingles), repeat(seed)), np.uint64)
+    hashes = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, shingles), repeat(seed)), np.uint64))
     total = np.zeros(LONG_WORDS * BITS, np.int64)
     salts = np.arange(1, LONG_WORDS, dtype=np.uint64) * np.uint64(POLY)
     for at in range(0, len(hashes), 255):  # at most 255 rows, so that sums fit a byte

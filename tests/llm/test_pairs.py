@@ -256,3 +256,14 @@ def test_near_copies_within_a_family_are_found(spark, make_docs, monkeypatch, ch
     found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(make_docs(texts)).collect()}
     assert sum(found[i + 1] == i for i in range(0, 600, 2)) >= 291
     assert all(found[i] in (i, i - 1) for i in range(600))
+
+
+def test_repeated_lines_do_not_decide_near_copies(spark, make_docs):
+    line = " ".join(f"l{i}" for i in range(11))
+    own = [" ".join(f"d{d}_{i}" for i in range(150)) for d in range(3)]
+    texts = [f"{own[0]} " + f"{line} " * 50, f"{own[1]} " + f"{line} " * 50, f"{own[2]} {line} {line}", f"{own[2]} " + f"{line} " * 60]
+    prints = [simhash.long_simhash(simhash.lowered_words(t), 5) for t in texts]
+    far = lambda a, b: np.bitwise_count(prints[a] ^ prints[b]).sum() / 1024
+    assert far(0, 1) > 0.3 and far(2, 3) < 0.05
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(make_docs(texts)).collect()}
+    assert found == {0: 0, 1: 1, 2: 2, 3: 2}
