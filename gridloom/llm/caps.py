@@ -13,8 +13,9 @@ verified by their cosine in double precision.
 
 Equal vectors of a label are one node with a count. A pair met under several filters counts where
 its least common words are. Groups are cut into chunks that are compared two by two, so no task
-holds more than two chunks, whatever the group's size, and no row is dropped. A task returns one
-row per vector (its number of links, the least vector linked), never pairs.
+holds more than two chunks, whatever the group's size, and no row is dropped. A task joins what it
+links and returns one row per vector (its number of links, the least vector that those links lead
+to), never pairs.
 """
 
 from __future__ import annotations
@@ -154,9 +155,24 @@ def _members(prefixes: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
     return out
 
 
+def _united(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Roots (least members) after p[i] and q[i] have joined: roots hook onto lesser ones until no pair is split."""
+    while True:
+        a, b = root[p], root[q]
+        split = a != b
+        if not split.any():
+            return root
+        p, q, a, b = p[split], q[split], a[split], b[split]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _verify(table: pa.Table, cosine: float) -> pa.Table:
-    """One group and pair of chunks (a, b): rep, links (weighted by sizes of the vectors linked), least (the least rep linked)."""
+    """One group and pair of chunks (a, b): rep, links (weighted by sizes of the vectors linked), root (the least rep that links found here lead to)."""
     prefix, a, b = (table[n][0].as_py() for n in ("prefix", "a", "b"))
+    table = table.sort_by("rep")  # so that the least row of a group is its least rep
     rep, size, chunk = (table[n].to_numpy() for n in ("rep", "size", "chunk"))
     x = _matrix(table["embedding"])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -164,7 +180,7 @@ def _verify(table: pa.Table, cosine: float) -> pa.Table:
     vocabulary = np.unique(prefixes.flatten().to_numpy())
     vocabulary = vocabulary[vocabulary <= prefix]  # what comes later cannot be a pair's least
     has = _members(prefixes, vocabulary)
-    links, least = np.zeros(len(rep), np.int64), rep.copy()
+    links, root = np.zeros(len(rep), np.int64), np.arange(len(rep))
     left, right = np.flatnonzero(chunk == a), np.flatnonzero(chunk == b)
     for lo in range(0, len(left), 512):
         rows = left[lo : lo + 512]
@@ -178,10 +194,9 @@ def _verify(table: pa.Table, cosine: float) -> pa.Table:
             p, q = p[own], q[own]
             np.add.at(links, p, size[q])
             np.add.at(links, q, size[p])
-            np.minimum.at(least, p, rep[q])
-            np.minimum.at(least, q, rep[p])
+            root = _united(root, p, q)
     some = links > 0
-    return pa.table({"rep": pa.array(rep[some]), "links": pa.array(links[some]), "least": pa.array(least[some])})
+    return pa.table({"rep": pa.array(rep[some]), "links": pa.array(links[some]), "root": pa.array(rep[root][some])})
 
 
 def clean_vectors(vectors: DataFrame) -> DataFrame:
@@ -189,7 +204,7 @@ def clean_vectors(vectors: DataFrame) -> DataFrame:
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists(x, lambda v: v != 0)
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
-    return rows.where(fine).select(F.col("vec_id").cast("long"), F.col("label").cast("long").alias("label"), F.size("embedding").alias("dim"), "embedding")
+    return rows.where(fine).select(F.col("vec_id").cast("long"), "label", F.size("embedding").alias("dim"), "embedding")
 
 
 def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int = CODES, filters: float = FILTERS) -> DataFrame:
@@ -198,8 +213,10 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     Vectors link if their labels are equal and not null, their dimensions are equal and the cosine in
     double precision is at least ``cosine``; equal vectors always link. Null or zero vectors and
     those with null or non-finite components link with nothing, nor do rows with a null vec_id.
-    Each repeated row counts as a vector of its own. Other columns are ignored; an empty table gives
-    an empty result.
+    Labels may be of any type that can be grouped. Each repeated row counts as a vector of its own
+    and the rows of a vec_id all get its greatest number of links and least component. A cosine of
+    just the threshold links; there are no other ties. Other columns are ignored; an empty table
+    gives an empty result.
     """
     spark = vectors.sparkSession
     clean = clean_vectors(vectors)
@@ -207,8 +224,9 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     groups = written(groups, "vectors")
     largest = groups.groupBy("label", "dim").count().groupBy("dim").agg(F.max("count").alias("n")).collect()  # one row for each dimension in use
     code_sets = {r["dim"]: CodeSet(r["dim"], r["n"], codes, filters, cosine) for r in largest}
-    kind = dict(clean.dtypes)["embedding"]
-    fields = f"rep long, label long, dim int, size long, embedding {kind}, prefixes array<long>"
+    kinds = dict(clean.dtypes)
+    kind = kinds["embedding"]
+    fields = f"rep long, label {kinds['label']}, dim int, size long, embedding {kind}, prefixes array<long>"
     decoded = groups.select("rep", "label", "dim", "size", "embedding").mapInArrow(partial(_decode_batches, codes=code_sets), fields)
     decoded = written(decoded, "filters")
     keys = decoded.select("label", "dim", F.explode("prefixes").alias("prefix"))
@@ -220,11 +238,11 @@ def near_duplicate_links(vectors: DataFrame, cosine: float = 0.98, codes: int =
     other = F.explode(F.expr("sequence(0, chunks - 1)"))
     members = members.select("rep", "label", "dim", "size", "embedding", "prefixes", "prefix", "chunk", other.alias("other"))
     members = members.withColumns({"a": F.least("chunk", "other"), "b": F.greatest("chunk", "other")}).drop("other")
-    found = members.groupBy("label", "dim", "prefix", "a", "b").applyInArrow(lambda table: _verify(table, cosine), "rep long, links long, least long")
-    found = written(found.groupBy("rep").agg(F.sum("links").alias("links"), F.min("least").alias("least"), F.collect_set("least").alias("all")), "links")
-    edges = found.select(F.col("rep").alias("a"), F.explode("all").alias("b"))
-    roots = components(edges)
-    named = groups.join(found.select("rep", "links"), "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    found = members.groupBy("label", "dim", "prefix", "a", "b").applyInArrow(lambda table: _verify(table, cosine), "rep long, links long, root long")
+    found = written(found, "links")
+    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
+    links = written(found.groupBy("rep").agg(F.sum("links").alias("links")), "counts")
+    named = groups.join(links, "rep", "left").join(roots, "rep", "left")
     named = named.select("label", "dim", "embedding", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
     named = written(named, "named")
     placed = clean.join(named, ["label", "dim", "embedding"]).select("vec_id", "n_links", "component_id").groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
