@@ -37,13 +37,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, or a temporary one where it is unset (tests, local mode)."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session, or, in local mode only, a temporary one where it is unset."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="gridloom-shared-")
         sc.setCheckpointDir(found)
         atexit.register(_remove_local, found)
@@ -56,26 +58,37 @@ def _remove_local(path: str) -> None:
     shutil.rmtree(path, ignore_errors=True)
 
 
+#: Folders that operators have written, in order.
+_TABLES: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder's name in the shared folder. remove_tables() deletes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
 
 
-_TABLES: list[str] = []
+def tables_so_far() -> int:
+    return len(_TABLES)
 
 
-def remove_tables(spark: SparkSession) -> None:
-    """Deletes the tables that operators have written so far. Results that still read them must have been stored before."""
+def remove_tables(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Deletes the folders that operators have written, those after the first `since` and without the ones that `keep` reads. Results that still read them must have been stored before."""
     sc = spark.sparkContext
-    while _TABLES:
-        path = sc._jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    read_by = keep.inputFiles() if keep is not None else []
+    kept = [x for x in _TABLES[since:] if any(f"/{x.rsplit('/', 1)[1]}/" in f for f in read_by)]
+    for name in _TABLES[since:]:
+        if name not in kept:
+            path = sc._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    _TABLES[since:] = kept
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts lineage, survives lost executors. remove_tables() deletes it."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    _TABLES.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -24,8 +24,8 @@ from gridloom.llm.common import fresh_path, read, rows_of, written
 
 #: Payloads under this many bytes are always written in full.
 LEAST_REVISIT = 1000
-#: Ranges closer than the gap are read at once, up to so many bytes; an index stretch of so many bytes goes to one task.
-GAP, READ_BYTES, STRETCH = 64 << 10, 4 << 20, 32 << 20
+#: Ranges closer than the gap are read at once, up to so many bytes; a task reads so many bytes of archives, fewer where cores would have nothing to do, but not under the least.
+GAP, READ_BYTES, STRETCH, LEAST_STRETCH = 64 << 10, 4 << 20, 32 << 20, 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, record_type string, digest string, payload_bytes long, refers_to long, file string, offset long, length long"
 
@@ -96,28 +96,35 @@ def _write_batches(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[lo : lo + 4096], strict=True), kinds, strict=True)], names)
 
 
+def payload_key():
+    """The SHA-256 of a page's payload."""
+    return F.sha2(F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8"), 256)
+
+
 def revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, refers_to: pages whose payload of at least so many bytes also stands at a larger page_id."""
-    body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
-    keys = pages.where("page_id is not null").select("page_id", F.sha2(body, 256).alias("key"), F.octet_length(body).alias("size")).where(F.col("size") >= least)
+    """page_id, key, refers_to: pages and payloads of at least so many bytes that also stand at a larger page_id."""
+    size = F.octet_length(F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8"))
+    keys = pages.where(F.col("page_id").isNotNull() & (size >= least)).select("page_id", payload_key().alias("key"))
     last = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("key", "refers_to")
     last = written(last, "warc-copies")  # a table of its own, so that a payload of very many copies can be split in the join
-    return keys.join(last, "key").where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    return keys.join(last, "key").where("page_id < refers_to").select("page_id", "key", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISIT) -> tuple[DataFrame, str]:
     """Writes a record for each row of pages (page_id, url, html); the index and the folder.
 
     Null html counts as empty, a null url as an empty one. Rows with a null page_id are responses.
-    Rows that repeat the page_id that others refer to are all responses. Other columns are ignored;
-    an empty table gives an empty index.
+    Rows may share a page_id: each is judged by its own payload, and rows that repeat the payload of
+    the page_id that others refer to are all responses. Payloads of any length are whole in one
+    record, which a task holds in memory one at a time. Other columns are ignored; an empty table
+    gives an empty index. The archives go with the operators' other tables (remove_tables).
     """
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
     files, path = filesystem(folder)
     files.create_dir(path, recursive=True)
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    marked = pages.join(revisits(pages, least), "page_id", "left")
+    marked = pages.withColumn("key", payload_key()).join(revisits(pages, least), ["page_id", "key"], "left").drop("key")
     index = marked.mapInArrow(partial(_write_batches, folder=folder), INDEX)
     return written(index, "warc-index"), folder
 
@@ -159,9 +166,12 @@ def _read_batches(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """The records that index rows select, with payloads (null for revisits): one task for each stretch of a file, ranges in order."""
+    """The records that index rows select, with payloads (null for revisits), in as many tasks as their archives' bytes ask for: each reads neighbouring records in order."""
     wanted = index.select("file", "offset", "length")
-    dealt = wanted.repartition("file", F.floor(F.col("offset") / STRETCH)).sortWithinPartitions("file", "offset")
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    stretch = max(LEAST_STRETCH, min(STRETCH, total // index.sparkSession.sparkContext.defaultParallelism))
+    # A number of its own: by the size of the index rows alone adaptive execution would put all archives into one task.
+    dealt = wanted.repartitionByRange(max(1, -(-total // stretch)), "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(partial(_read_batches, folder=folder), "page_id long, url string, record_type string, digest string, payload_bytes long, refers_to long, payload binary")
 
 

@@ -105,11 +105,36 @@ def test_archives_are_read_back(spark):
     assert warc.read_records(empty, folder).count() == 0
 
 
+def test_repeated_page_ids_keep_each_payload(spark):
+    x, y = "x" * 2000, "y" * 3000
+    rows = [(1, "a", x), (1, "b", y), (5, "c", x), (5, "d", x), (6, "e", y), (6, "f", x), (2, "g", x), (2, "g", x)]
+    index, folder = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted((r["url"], r["page_id"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"]).decode()) for r in warc.read_records(index, folder).collect())
+    assert got == [("a", 1, "revisit", 6, None), ("b", 1, "revisit", 6, None), ("c", 5, "revisit", 6, None), ("d", 5, "revisit", 6, None), ("e", 6, "response", None, y), ("f", 6, "response", None, x), ("g", 2, "revisit", 6, None), ("g", 2, "revisit", 6, None)]
+    other = spark.createDataFrame([(1, "a", x), (1, "b", y), (5, "c", x)], "page_id long, url string, html string")
+    index, folder = warc.write_archives(other)
+    got = sorted((r["url"], r["record_type"], r["refers_to"]) for r in warc.read_records(index, folder).collect())
+    assert got == [("a", "revisit", 5), ("b", "response", None), ("c", "response", None)]
+
+
+def test_archives_are_read_by_as_many_tasks_as_stretches(spark, monkeypatch):
+    monkeypatch.setattr(warc, "STRETCH", 20_000)
+    monkeypatch.setattr(warc, "LEAST_STRETCH", 20_000)
+    rng = random.Random(1)
+    rows = [(i, "u", "".join(rng.choices("abcdefgh", k=1500))) for i in range(400)]
+    index, folder = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    total = index.agg(F.sum("length")).first()[0]
+    read = warc.read_records(index, folder)
+    tasks = read.groupBy(F.spark_partition_id()).count().count()
+    assert total // 20_000 <= tasks <= total // 20_000 + 1 and tasks > 5
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in read.collect()} == {r[0]: r[2] for r in rows}
+
+
 def test_archive_query_equals_its_sql(spark, as_table):
     import duckdb
 
     df, _ = pages(spark)
-    where = as_table(pages=df.where("page_id is not null"))
+    where = as_table(pages=df.where("page_id is not null").union(spark.createDataFrame([(1, "u", "z" * 1200), (2, "u", "z" * 1200), (7, "v", "z" * 999)], df.schema)))
     con = duckdb.connect()
     con.sql(f"create view pages as select * from '{where}/pages.parquet/*.parquet'")
     want = sorted(con.sql(warc.ORACLE_SQL).fetchall())
