@@ -8,20 +8,24 @@ to an ancestor only when all siblings are full. Each leaf then takes whole epoch
 the seeded order of the last epoch, of at most the tokens left.
 
 Only sums by leaf reach the driver: one row for each (domain, language, source). The prefix of a
-leaf is found in two steps, by sums over ``buckets`` ranges of the order's hash and then inside the
-one bucket where the budget ends, so no task ever sorts a leaf.
+leaf is found by sums over 256 ranges of the order's hash, then over 256 parts of the one range
+where the budget ends, and so on, LEVELS times; only the rows of the last range (of a leaf's 16
+million) are put in order, so no task ever sorts a leaf.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import read, written
 
-BUCKETS = 4096
+#: Times that the range where a budget ends is cut into 256.
+LEVELS = 3
 NAMES = ("domain", "language", "source")
 
 
@@ -89,18 +93,39 @@ def count_tokens(text):
     return F.coalesce(F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")), F.lit(0)).cast("long")
 
 
-def _ordered(rows: DataFrame, seed: int) -> DataFrame:
-    """key: the seeded order within an epoch, as hexadecimal digits; bucket: its leading 12 bits."""
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return rows.withColumn("key", key).withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+def _order_key(seed: int):
+    """The seeded order within an epoch, as hexadecimal digits; a row without doc_id goes by its text."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
+    return lambda epoch: F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.col("name")).cast("binary")), name
+
+
+def _prefixes(part: DataFrame, leaf: list[str]) -> list[DataFrame]:
+    """Of the rows of part (leaf, key, tie, tokens, rest) those that stand, in the order of key and tie, within the first `rest` tokens of their leaf."""
+    taken, left = [], part
+    for level in range(LEVELS):
+        left = left.withColumn("bucket", F.conv(F.substring("key", 1 + 2 * level, 2), 16, 10).cast("int"))
+        sums = left.groupBy(*leaf, "bucket").agg(F.sum("tokens").alias("in_bucket"), F.max("rest").alias("rest"))  # at most 256 rows for each leaf
+        through = F.sum("in_bucket").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ends = sums.withColumn("through", through).where("through > rest")
+        ends = ends.groupBy(*leaf).agg(F.min("bucket").alias("end_bucket"), F.min_by(F.col("through") - F.col("in_bucket"), "bucket").alias("before"))
+        left = left.join(F.broadcast(ends), leaf, "left")  # one row for each leaf
+        taken.append(left.where("end_bucket is null or bucket < end_bucket").select(*part.columns))
+        left = left.where("bucket = end_bucket").withColumn("rest", F.col("rest") - F.col("before")).select(*part.columns)
+        # Few rows, read again by the next level and the last.
+        left = written(left, "end-bucket")
+    inside = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return [*taken, left.withColumn("until", inside).where("until <= rest").select(*part.columns)]
 
 
 def mix(docs: DataFrame, targets: Targets, language: str = "lang") -> DataFrame:
     """The rows of docs (doc_id, text, lang, source) that the mixture takes, each once for every epoch it is taken in.
 
-    Returns the columns of docs and epoch (from 1), tokens. Rows without words cost nothing and are
-    taken while any budget of their leaf is left, as the order has them; a null language or source
-    is the leaf ``none``. Rows that share a doc_id stand together in the order, by text. Columns
+    Returns the columns of docs and epoch (from 1), tokens. Rows without words, null and empty texts
+    among them, cost nothing and are taken while any budget of their leaf is left, as the order has
+    them; a text of any length is taken whole or not at all. A null language or source is the leaf
+    ``none``. Rows that share a doc_id stand together in the order, by the hash of their text; rows
+    alike in doc_id, text and leaf are one unit, which costs what all of them have and is taken
+    whole, so no leaf exceeds its budget. Rows without doc_id are ordered by their texts. Columns
     of docs named like a result or a working column (epoch, tokens, domain, language, leaf_source,
     key, bucket) give way, others pass through. An empty table gives an empty result.
     """
@@ -108,8 +133,11 @@ def mix(docs: DataFrame, targets: Targets, language: str = "lang") -> DataFrame:
     docs = docs.drop(*(x for x in mine if x not in (language,)))
     names = docs.columns
     path = {"domain": domain_of(F.coalesce(F.col("source"), F.lit(""))), "language": F.coalesce(F.col(language), F.lit("none")), "leaf_source": F.coalesce(F.col("source"), F.lit("none"))}
-    sizes = written(docs.select("doc_id", *(c.alias(n) for n, c in path.items()), count_tokens(F.col("text").cast("string")).alias("tokens"), F.xxhash64("text").alias("tie")), "sizes")
+    key, name = _order_key(targets.seed)
+    sizes = docs.select("doc_id", name.alias("name"), *(c.alias(n) for n, c in path.items()), count_tokens(F.col("text").cast("string")).alias("tokens"), F.xxhash64("text").alias("tie"))
     leaf = list(path)
+    unit = ["doc_id", "tie", *leaf]
+    sizes = written(sizes.groupBy(*unit).agg(F.min("name").alias("name"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("each")), "sizes")
     leaves = [tuple(r) for r in sizes.groupBy(*leaf).agg(F.sum("tokens")).collect()]  # one row for each leaf
     given = budgets(leaves, targets)
     plan = []
@@ -118,19 +146,18 @@ def mix(docs: DataFrame, targets: Targets, language: str = "lang") -> DataFrame:
         plan.append((d, l, s, int(full), int(rest)))
     spark = docs.sparkSession
     plan_df = F.broadcast(spark.createDataFrame(plan, "domain string, language string, leaf_source string, full_epochs int, rest long"))  # one row for each leaf
-    part = _ordered(sizes.join(plan_df, leaf).withColumn("epoch", F.col("full_epochs") + 1), targets.seed).where("rest > 0")
-    sums = part.groupBy(*leaf, "bucket").agg(F.sum("tokens").alias("in_bucket"), F.max("rest").alias("rest"))  # at most BUCKETS rows for each leaf
-    through = F.sum("in_bucket").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends = sums.withColumn("through", through).where("through > rest")
-    ends = ends.groupBy(*leaf).agg(F.min("bucket").alias("end_bucket"), F.min_by(F.col("through") - F.col("in_bucket"), "bucket").alias("before"))
-    part = part.join(F.broadcast(ends), leaf, "left")  # one row for each leaf
-    below = part.where("end_bucket is null or bucket < end_bucket").select("doc_id", "tie", "epoch", "tokens")
-    inside = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    taken = part.where("bucket = end_bucket").withColumn("until", F.col("before") + inside).where("until <= rest").select("doc_id", "tie", "epoch", "tokens")
-    taken = below.union(taken)
-    whole = sizes.join(plan_df, leaf).where("full_epochs > 0").select("doc_id", "tie", F.explode(F.expr("sequence(1, full_epochs)")).alias("epoch"), "tokens")
-    chosen = whole.union(taken).groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(F.sort_array(F.collect_set("epoch")).alias("__epochs"), F.max("tokens").alias("tokens"))
-    found = docs.withColumn("__own", F.xxhash64("text")).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__tie")))
+    placed = sizes.join(plan_df, leaf)
+    part = placed.where("rest > 0").withColumn("epoch", F.col("full_epochs") + 1).withColumn("key", key(F.col("epoch")))
+    part = part.select(*unit, "key", "epoch", "tokens", "each", "rest")
+    whole = placed.where("full_epochs > 0").select(*unit, "each", F.explode(F.expr("sequence(1, full_epochs)")).alias("epoch"))
+    chosen = whole
+    for some in _prefixes(part, leaf):
+        chosen = chosen.union(some.select(*unit, "each", "epoch"))
+    of = {x: f"__{x}" for x in unit}
+    chosen = chosen.groupBy(*(F.col(x).alias(y) for x, y in of.items())).agg(F.sort_array(F.collect_set("epoch")).alias("__epochs"), F.max("each").alias("tokens"))
+    own = {"doc_id": F.col("doc_id"), "tie": F.xxhash64("text"), **path}
+    same = [own[x].eqNullSafe(F.col(y)) if x == "doc_id" else own[x] == F.col(y) for x, y in of.items()]
+    found = docs.join(chosen, reduce(and_, same))
     return found.select(*names, F.explode("__epochs").alias("epoch"), "tokens")
 
 

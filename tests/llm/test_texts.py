@@ -233,6 +233,27 @@ def test_mixture_equals_plain_selection(spark, make_docs, share):
     assert mixing.mix(docs.limit(0), targets).count() == 0
 
 
+def test_repeated_rows_do_not_exceed_a_leaf(spark, make_docs, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("w" for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    docs = make_docs(texts, source=[f"src{i % 4}" for i in range(200)])
+    docs = docs.union(docs.where("doc_id % 3 = 0").withColumn("source", F.lit("src1"))).union(docs.where("doc_id % 7 = 0"))
+    docs = docs.union(docs.where("doc_id < 60").withColumn("doc_id", F.lit(None).cast("long"))).withColumn("nth", F.monotonically_increasing_id())
+    docs = docs.cache()
+    rows = [(r["source"], len((r["text"] or "").split())) for r in docs.collect()]
+    leaves = [(f"d{int(k[3:]) % 3}", "en", k, sum(n for s, n in rows if s == k)) for k in ("src0", "src1", "src2", "src3")]
+    for share in (0.2, 0.55, 1.3):
+        targets = mixing.Targets(share=share, epochs=2)
+        got = mixing.mix(docs, targets)
+        taken = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+        for leaf, budget in mixing.budgets(leaves, targets).items():
+            assert budget - 3 * 40 * 3 <= taken.get(leaf[2], 0) <= budget, (share, leaf)
+        assert got.groupBy("nth", "epoch").count().where("count > 1").count() == 0
+        monkeypatch.setattr(mixing, "LEVELS", 1)
+        assert sorted(map(tuple, mixing.mix(docs, targets).select("nth", "epoch").collect())) == sorted(map(tuple, got.select("nth", "epoch").collect()))
+        monkeypatch.undo()
+
+
 def test_license_places(spark, make_docs):
     texts = ["Licensed under CC BY-NC 4.0.", "x Licensed under the Apache License, Version 2.0 y", "GNU General Public License", "Released under the MIT License.", "All rights reserved. ALL  RIGHTS-RESERVED", None, "", "Licensed under the Apache License 3.0", "Copyright (c) 2020 Some Body. All rights reserved", "under the mit licence", "reserved " * 5000]
     got = {r["doc_id"]: r for r in licenses.scan_licenses(make_docs(texts)).collect()}
