@@ -114,6 +114,54 @@ def test_near_copies_join_and_others_stay(spark, make_docs):
     assert all(found[i] == i for i in range(80, 84))
 
 
+def edited_corpus(seed, n):
+    """Texts, many of them edits of others, a few of one large family; None and odd ones among them."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(3, 150))) for _ in range(n)]
+    for _ in range(2 * n):
+        words = rng.choice(texts[: n // 2] if rng.random() < 0.6 else texts[:1]).split()
+        for _ in range(rng.randint(0, max(1, len(words) // 30))):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    return [*texts, None, "", " \n", texts[0].upper(), "é " * 40]
+
+
+def plain_near_copies(texts, similarity=0.8, k=5):
+    grams = []
+    for t in texts:
+        words = (t or "").encode().lower().split()
+        grams.append({b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {b" ".join(words)} if words else None)
+    linked = [(i, j) for j, b in enumerate(grams) for i, a in enumerate(grams[:j]) if a and b and len(a & b) >= similarity * len(a | b)]
+    return union(range(len(texts)), linked), linked
+
+
+def test_near_copies_equal_brute_force(spark, make_docs):
+    texts = edited_corpus(12, 150)
+    want, linked = plain_near_copies(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(make_docs(texts)).collect()}
+    assert len(linked) > 1000
+    assert sum(got[a] == got[b] for a, b in linked) / len(linked) > 0.995
+    assert all(want[got[i]] == want[i] for i in got)  # none joins what the shingles don't
+
+
+def test_near_copies_do_not_depend_on_partitions(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(simhash, "SMALL_BAND", 8)
+    docs = make_docs(edited_corpus(13, 100))
+    first = None
+    for n in (3, 7, 13):
+        monkeypatch.setattr(simhash, "BAND_CHUNK", 64)
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(40 * n))
+        try:
+            got = sorted(map(tuple, simhash.near_copies(docs.repartition(n, "text")).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        first = first or got
+        assert got == first
+
+
 def brute_substring(texts, length):
     seen, removed = set(), []
     words = [(t or "").encode().split() for t in texts]
