@@ -2,73 +2,11 @@
 
 STAGES has (name, function) pairs; a function takes (spark, docs, sf_dir) and returns a DataFrame
 that is written and read again as the next one's docs. All but the last return the columns of docs.
-Null texts, empty tables, repeated rows and extra columns are treated as the operators' docstrings say.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from gridloom.llm import bpe, langid, mixing, simhash, substring
-from gridloom.llm.common import read, small_batches, written
-
-
-#: Columns that operators see; all others travel in one struct, so that no name of theirs clashes.
-SEEN = ["doc_id", "text", "lang", "source"]
-
-
-def _packed(docs: DataFrame) -> DataFrame:
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in SEEN]
-    return docs.select(*SEEN, *([F.struct(*rest).alias("rest")] if rest else []))
-
-
-def _unpacked(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of docs again, in their order."""
-    return found.select(*(c if c in SEEN else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language models reject go; a missing lang becomes the predicted one."""
-    small_batches(spark)
-    found = langid.identify(_packed(docs), langid.learn(docs)).where(~F.col("rejected"))
-    return _unpacked(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
-
-
-def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id stays."""
-    small_batches(spark)
-    gone = simhash.near_copies(docs).where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(written(gone, "gone"), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
-
-
-def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words in windows of 20 that stand earlier in the corpus go from text; n_chars follows."""
-    small_batches(spark)
-    found = _unpacked(substring.dedup_text(_packed(docs)), docs)
-    return found.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else found
-
-
-def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mixture of domains, languages and sources takes, each once."""
-    return _unpacked(mixing.mix(_packed(docs), mixing.PIPELINE_TARGETS), docs)
-
-
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and the digest of the decoded text."""
-    small_batches(spark)
-    return bpe.encode_decode(docs.select(*SEEN), outputs=("ids", "decoded_sha256"))
-
-
-STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("substring_dedup", substring_dedup), ("mixture", mixture), ("bpe", tokens)]
+from gridloom.llm.stages import STAGES, run
 
 #: Language models, near copies and BPE cannot be put in SQL.
 ORACLE_SQL = None
 
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over documents, each written to the shared folder and read again."""
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
