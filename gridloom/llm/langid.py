@@ -4,7 +4,7 @@ One model per language over lower-case letters, with runs of anything else as on
 4-grams come from a bounded sample of labelled texts; lower orders are continuation counts. Each
 order's discounted probabilities and back-off weights lie in arrays sorted by the hash of their
 n-gram. A text goes to the language with the least cross-entropy per character, and is rejected if
-even that is far over what the language's own training texts have.
+even that is far over what labelled texts of the language that no model was fitted on have.
 """
 
 from __future__ import annotations
@@ -16,21 +16,23 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import CACHES, crc_mod, mix, read, worker_task, written
 
 ORDER, BASE_BITS = 4, 6
-#: Symbols: 0 is a run of non-letters, 1 any letter outside the alphabet, then the most frequent letters.
+#: Symbols: 0 is a run of non-letters, 1 any letter outside the alphabet, then the letters that rank first in some language.
 ALPHABET = (1 << BASE_BITS) - 2
-#: The sample has about this many texts of each language, chosen by a hash of doc_id (all, if fewer).
-SAMPLE_TEXTS = 1500
-#: Characters of text scored at once.
-BLOCK = 1 << 18
-#: Texts over mean + REJECT_SD * sd + REJECT_SHORT / sqrt(n) of their language's own cross-entropies are rejected: some
-#: twice what the oddest labelled texts have over the mean, and well under what texts in other languages have.
-REJECT_SD, REJECT_SHORT = 20.0, 8.0
+#: The sample has about this many texts of each language, chosen by a hash of doc_id (all, if fewer), of as many languages at most (those with the most texts).
+SAMPLE_TEXTS, MOST_LANGUAGES = 2000, 200
+#: One in so many texts of the sample is left out of the models and calibrates the rejection.
+CALIBRATE = 4
+#: Characters of text scored at once, and bytes of log-probabilities that a worker keeps.
+BLOCK, KNOWN_BYTES = 1 << 18, 64 << 20
+#: Rejection: a text's cross-entropy less SHORT / sqrt(its symbols), four standard errors of a mean of that many, must not
+#: exceed this quantile of the calibrating texts of its language by more than so many times the quantile's distance from their median.
+QUANTILE, MARGIN, LEAST_SPREAD, SHORT = 0.99, 3.0, 0.05, 8.0
 NO_LETTER = "und"
 
 
@@ -120,16 +122,33 @@ class LanguageModel:
     languages: list[str]
     symbols: Symbols
     models: list[KneserNey]
-    normal: list[tuple[float, float]] = field(default_factory=list)
+    limits: list[float] = field(default_factory=list)
 
 
 class Scorer:
-    """Cross-entropies of texts; log-probabilities of the 4-grams that this worker has met are kept, one row each."""
+    """Cross-entropies of texts; log-probabilities of the 4-grams that this worker has met are kept, one row each, up to KNOWN_BYTES."""
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.row = np.zeros(1 << BASE_BITS * ORDER, np.int32)
-        self.known = np.zeros((1, len(model.languages)), np.float32)
+        self.known, self.used = np.zeros((1 << 12, len(model.languages)), np.float32), 1
+
+    def rows(self, codes: np.ndarray) -> np.ndarray:
+        """Where in known the codes' log-probabilities stand."""
+        row = self.row[codes]
+        if row.all():
+            return row
+        new = np.unique(codes[row == 0])
+        if (self.used + len(new)) * 4 * len(self.model.languages) > KNOWN_BYTES:
+            self.row[:], self.used = 0, 1
+            new = np.unique(codes)
+        end = self.used + len(new)
+        if end > len(self.known):
+            self.known = np.concatenate([self.known[: self.used], np.zeros((2 * end - self.used, self.known.shape[1]), np.float32)])
+        self.known[self.used : end] = np.stack([m.log_probability(new) for m in self.model.models], axis=1)
+        self.row[new] = np.arange(self.used, end)
+        self.used = end
+        return self.row[codes]
 
     def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Per text the number of symbols scored, 0 if it has no letter, and a row of nats per symbol by language."""
@@ -144,16 +163,17 @@ class Scorer:
                 parts.append(grams(symbols))
                 total += size[i]
             if total >= BLOCK or (i == len(texts) - 1 and held):
+                starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
                 codes = np.concatenate(parts)
-                row = self.row[codes]
-                if not row.all():
-                    new = np.unique(codes[row == 0])
-                    self.row[new] = np.arange(len(self.known), len(self.known) + len(new))
-                    self.known = np.concatenate([self.known, np.stack([m.log_probability(new) for m in self.model.models], axis=1)])
-                    row = self.row[codes]
-                starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
-                for j in range(len(self.model.languages)):
-                    found[held, j] = -np.add.reduceat(self.known[:, j][row].astype(np.float64), starts) / size[held]
+                sums = np.zeros((len(held), found.shape[1]))
+                for lo in range(0, len(codes), BLOCK):  # a long text is scored by blocks, so that the rows that it needs at once are bounded
+                    row = self.rows(codes[lo : lo + BLOCK])
+                    first = int(np.searchsorted(starts, lo, side="right")) - 1
+                    cut = np.maximum(starts[first:-1], lo) - lo
+                    cut = cut[cut < len(row)]
+                    for j in range(found.shape[1]):
+                        sums[first : first + len(cut), j] += np.add.reduceat(self.known[:, j][row].astype(np.float64), cut)
+                found[held] = -sums / size[held][:, None]
                 held, parts, total = [], [], 0
         return size, found
 
@@ -190,12 +210,22 @@ def _restored(broadcast, name: str) -> _Shared:
 
 
 def _letter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    counts: dict[str, Counter] = {}
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update((text or "").lower())
-    rows = [(c, n) for c, n in counts.items() if c.isalpha() and ord(c) < 0x10000]
-    yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["letter", "n"])
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            counts.setdefault(lang, Counter()).update((text or "").lower())
+    for lang, found in counts.items():
+        rows = [(c, n) for c, n in found.items() if c.isalpha() and ord(c) < 0x10000]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), pa.array([c for c, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["lang", "letter", "n"])
+
+
+def alphabet(sample: DataFrame) -> str:
+    """The letters with the best rank by frequency in any language of sample (lang, text), so that every script has some."""
+    counts = sample.select("lang", "text").mapInArrow(_letter_batches, "lang string, letter string, n long").groupBy("lang", "letter").agg(F.sum("n").alias("n"))
+    # A window over the letters of one language: at most 65,536 rows.
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "letter")))
+    best = ranked.groupBy("letter").agg(F.min("rank").alias("rank"), F.sum("n").alias("n")).orderBy("rank", F.desc("n"), "letter").limit(ALPHABET)
+    return "".join(r["letter"] for r in best.collect())
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -223,33 +253,35 @@ def _gram_batches(batches: Iterator[pa.RecordBatch], symbols: Symbols) -> Iterat
 
 
 @worker_task("langid")
-def _normal_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
+def _excess_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
+    """lang, excess: a labelled text's cross-entropy in its language less what it may have more for being short."""
     scorer = _scorer(shared)
     for batch in batches:
         size, found = scorer.cross_entropy(batch.column("text").to_pylist())
         known = {x: i for i, x in enumerate(scorer.model.languages)}
         at = np.array([known.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
-        own = found[np.arange(len(found)), at]
-        keep = (size >= 20) & (at >= 0)  # a language whose texts have no letter has no model
-        yield pa.RecordBatch.from_arrays([batch.column("lang").filter(pa.array(keep)), pa.array(own[keep])], ["lang", "entropy"])
+        own = found[np.arange(len(found)), at] - SHORT / np.sqrt(np.maximum(size, 1))
+        keep = (size > 0) & (at >= 0)  # a language whose texts have no letter has no model
+        yield pa.RecordBatch.from_arrays([batch.column("lang").filter(pa.array(keep)), pa.array(own[keep])], ["lang", "excess"])
 
 
-def training_sample(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """lang, text: about sample_texts rows of each language of docs (doc_id, text, lang), by a hash of doc_id; all where there are fewer."""
-    labelled = docs.where("lang is not null and text is not null").select(F.col("doc_id"), "lang", "text")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return labelled.select("lang", "text")
-    kept = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, sample_texts / n))) for k, n in counts.items()])
-    return written(labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < kept * 1_000_000).select("lang", "text"), "language-sample")
+def training_sample(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, most_languages: int = MOST_LANGUAGES) -> DataFrame:
+    """lang, text, calibrates: about sample_texts rows of each of the languages with the most rows of docs (doc_id, text, lang), by a hash of doc_id; all rows where there are fewer."""
+    labelled = docs.where("lang is not null and text is not null").select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    # At most most_languages rows.
+    kept = F.broadcast(counts.select("lang", F.least(F.lit(1.0), F.lit(sample_texts) / F.col("count")).alias("kept")))
+    rows = labelled.join(kept, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < F.col("kept") * 1_000_000)
+    return written(rows.select("lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(CALIBRATE)) == 0).alias("calibrates")), "language-sample")
 
 
-def fit(sample: DataFrame, languages: list[str] | None = None) -> LanguageModel | None:
-    """Models of the languages of sample (lang, text); None if no text of it has a letter."""
+def fit(sample: DataFrame) -> LanguageModel | None:
+    """Models of the languages of sample (lang, text, calibrates); None if no text to fit on has a letter. A language without calibrating texts rejects nothing."""
     spark = sample.sparkSession
-    rows = sample.select("text").mapInArrow(_letter_batches, "letter string, n long").groupBy("letter").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "letter").limit(ALPHABET).collect()
-    symbols = Symbols("".join(r["letter"] for r in rows))
-    counts = sample.mapInArrow(partial(_gram_batches, symbols=symbols), "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+    fitted = sample.where(~F.col("calibrates"))
+    symbols = Symbols(alphabet(fitted))
+    # Sample texts and languages are bounded, so the counts are.
+    counts = fitted.select("lang", "text").mapInArrow(partial(_gram_batches, symbols=symbols), "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return None
     lang, code, n = counts["lang"].to_numpy(zero_copy_only=False), counts["code"].to_numpy().astype(np.uint32), counts["n"].to_numpy()
@@ -261,8 +293,9 @@ def fit(sample: DataFrame, languages: list[str] | None = None) -> LanguageModel
         models.append(KneserNey.fit(code[own][order], n[own][order]))
     model = LanguageModel(languages, symbols, models)
     shared = _Shared(spark.sparkContext.broadcast(model))
-    stats = {r["lang"]: (r["m"], r["s"] or 0.05) for r in sample.mapInArrow(partial(_normal_batches, shared=shared), "lang string, entropy double").groupBy("lang").agg(F.avg("entropy").alias("m"), F.stddev_pop("entropy").alias("s")).collect()}
-    model.normal = [(stats[x][0], max(stats[x][1], 0.02)) if x in stats else (np.log(1 << BASE_BITS), 1.0) for x in languages]
+    excess = sample.where("calibrates").select("lang", "text").mapInArrow(partial(_excess_batches, shared=shared), "lang string, excess double")
+    levels = {r["lang"]: r["q"] for r in excess.groupBy("lang").agg(F.percentile("excess", [0.5, QUANTILE]).alias("q")).collect()}
+    model.limits = [high + max(MARGIN * (high - middle), LEAST_SPREAD) for middle, high in (levels.get(x, (0.0, float("inf"))) for x in languages)]
     return model
 
 
@@ -270,7 +303,7 @@ def fit(sample: DataFrame, languages: list[str] | None = None) -> LanguageModel
 def _predict_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(shared)
     names = np.array(scorer.model.languages, object)
-    mean, sd = np.array(scorer.model.normal).T
+    limits = np.array(scorer.model.limits)
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             part = batch.slice(lo, 512)
@@ -280,7 +313,7 @@ def _predict_batches(batches: Iterator[pa.RecordBatch], shared: _Shared) -> Iter
             score = 1.0 / np.exp(-gap).sum(axis=1)
             none = size == 0
             entropy = found[np.arange(len(found)), best]
-            rejected = none | (entropy > mean[best] + REJECT_SD * sd[best] + REJECT_SHORT / np.sqrt(np.maximum(size, 1)))
+            rejected = none | (entropy - SHORT / np.sqrt(np.maximum(size, 1)) > limits[best])
             out = {x: part.column(x) for x in part.schema.names} | {
                 "lang_pred": pa.array(np.where(none, NO_LETTER, names[best]), pa.string()), "score": pa.array(np.where(none, 0.0, score)),
                 "cross_entropy": pa.array(entropy, mask=none), "rejected": pa.array(rejected),
@@ -292,9 +325,11 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """docs with lang_pred, score, cross_entropy and rejected for each of its rows.
 
     lang_pred is a learned language, ``und`` with score 0 for null and empty texts and those without
-    a letter, which are also rejected. score is the chosen language's share of the likelihood over
-    at most 200 characters. Without a model (no labelled text) all is ``und`` and rejected. Repeated rows
-    give repeated results; columns named like a result give way, others pass through.
+    a letter, which are also rejected. Equal cross-entropies give the language that comes first by
+    name. score is the chosen language's share of the likelihood over at most 200 characters; a long
+    text is scored whole, by blocks. Without a model (no labelled text) all is ``und`` and rejected.
+    Repeated rows give repeated results; columns named like a result give way, others pass through;
+    an empty table gives an empty result.
     """
     added = ["lang_pred", "score", "cross_entropy", "rejected"]
     docs = docs.drop(*added).withColumn("text", F.col("text").cast("string"))

@@ -172,6 +172,81 @@ def test_languages_and_rejection(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, None).collect()} == {"und"}
 
 
+def plain_kneser_ney(texts, letters):
+    """Interpolated Kneser-Ney over symbols by dictionaries: log-probability of a symbol after three others."""
+    import math
+    from collections import Counter, defaultdict
+
+    def symbols(text):
+        out = [0]
+        for c in text.lower():
+            x = letters.index(c) + 2 if c in letters else 1 if c.isalpha() else 0
+            out += [x] if x or out[-1] else []
+        return out + [0] if out[-1] else out
+
+    counts = Counter()
+    for t in texts:
+        padded = [0, 0, *symbols(t)]
+        counts.update(tuple(padded[i : i + 4]) for i in range(len(padded) - 3))
+    orders = {4: counts}
+    for k in (3, 2, 1):
+        orders[k] = Counter(g[1:] for g in orders[k + 1])
+    discount, total, kinds = {}, {}, {}
+    for k, found in orders.items():
+        one, two = (sum(n == m for n in found.values()) for m in (1, 2))
+        discount[k] = one / (one + 2 * two) if one and two else 0.5
+        total[k], kinds[k] = defaultdict(int), defaultdict(int)
+        for g, n in found.items():
+            total[k][g[:-1]] += n
+            kinds[k][g[:-1]] += 1
+
+    def probability(g):
+        k = len(g)
+        lower = probability(g[1:]) if k > 1 else 1 / 64
+        if not total[k][g[:-1]]:
+            return lower
+        return max(orders[k][g] - discount[k], 0) / total[k][g[:-1]] + discount[k] * kinds[k][g[:-1]] / total[k][g[:-1]] * lower
+
+    def entropy(text):
+        padded = [0, 0, *symbols(text)]
+        each = [math.log(probability(tuple(padded[i : i + 4]))) for i in range(len(padded) - 3)]
+        return -sum(each) / len(each)
+
+    return entropy
+
+
+def test_predictions_equal_plain_kneser_ney(spark):
+    rows = spoken(160, 5)
+    docs = spark.createDataFrame([*rows, (500, "bala Ñoro berek ꙮ ere " * 50, None), (501, "b", None)], "doc_id long, text string, lang string")
+    sample = langid.training_sample(docs.where("doc_id % 3 > 0"))
+    model = langid.fit(sample)
+    fitted = sample.where("not calibrates").collect()
+    plain = {k: plain_kneser_ney([r["text"] for r in fitted if r["lang"] == k], model.symbols.letters) for k in LANGUAGES}
+    assert set("balkereñom") <= set(model.symbols.letters)
+    for r in langid.identify(docs, model).collect():
+        want = {k: f(r["text"]) for k, f in plain.items()}
+        assert abs(r["cross_entropy"] - min(want.values())) < 1e-4
+        assert r["lang_pred"] == min(want, key=want.get)
+    excess = {k: sorted(plain[k](r["text"]) - 8 / len(langid.grams(model.symbols.encode(r["text"]))) ** 0.5 for r in sample.where("calibrates").collect() if r["lang"] == k) for k in LANGUAGES}
+    for k, limit in zip(model.languages, model.limits, strict=True):
+        assert limit > excess[k][-1] or len(excess[k]) > 100
+
+
+def test_long_texts_and_many_languages_are_bounded(monkeypatch, spark):
+    import numpy as np
+
+    rows = [(i, " ".join(random.Random(i % 7 * 100 + i).choices([a + b for a in "bcdfg" for b in "aeiou"], k=30)), f"l{i % 7}") for i in range(210)]
+    docs = spark.createDataFrame([*rows, (999, "x y z", "rare")], "doc_id long, text string, lang string")
+    assert len(langid.fit(langid.training_sample(docs, most_languages=3)).languages) == 3
+    model = langid.fit(langid.training_sample(docs))
+    texts = [rows[0][1] * 400, rows[3][1], None, "12", rows[5][1] * 90]
+    size, whole = langid.Scorer(model).cross_entropy(texts)
+    monkeypatch.setattr(langid, "BLOCK", 1000)
+    monkeypatch.setattr(langid, "KNOWN_BYTES", 4000)
+    again, blocks = langid.Scorer(model).cross_entropy(texts)
+    assert (size == again).all() and np.allclose(whole, blocks)
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
 
