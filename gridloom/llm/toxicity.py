@@ -11,11 +11,14 @@ given.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,10 @@ LEAST_TEXTS, LEAST_SHARE, LEAST_EVIDENCE, LEAST_ODDS = 3, 0.01, 16.0, 2.0
 EXCEPTION_TEXTS = 5
 
 #: Digits and signs that stand for letters, and letters of other scripts that look like Latin ones.
-DIGITS = dict(zip("0134578@$", "oieastbas", strict=True))
+DIGITS = dict(zip("0123456789@$", "oizeasgtbgas", strict=True))
 HOMOGLYPHS = dict(zip("авекмнорстухѕіјԁɡıłαβεηικνορτυχ", "abekmhopctyxsijdgilabenikvoptux", strict=True))
+#: An exclamation mark inside a word stands for i; at its end it is one.
+_INNER_MARK = re.compile(r"(?<=[^\W_])!+(?=[^\W_])")
 #: A 1 stands for i or for l, so both are one letter after folding.
 ONE = {"l": "i"}
 #: Beyond Latin-1, letters without a look-alike become this one, which is in no entry.
@@ -78,6 +83,8 @@ _TABLE, _FAR = _byte_table(), _Folding()
 def fold(text: str | None) -> str:
     """The folded words of a text, each between single spaces; one space if there is none."""
     low = (text or "").lower()
+    if "!" in low:
+        low = _INNER_MARK.sub(lambda m: "i" * len(m[0]), low)
     try:
         raw = low.encode("latin-1")
     except UnicodeEncodeError:
@@ -131,7 +138,10 @@ class Matcher:
                 elif start not in best or size > best[start][0]:
                     best[start] = size, weight
         if spans:
-            best = {s: x for s, x in best.items() if not any(a <= s and s + x[0] - 1 <= b for a, b in spans)}
+            # Some exception span covers a place if, of those that start no later, the one that goes furthest does.
+            spans.sort()
+            starts, reach = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+            best = {s: x for s, x in best.items() if not ((i := bisect_right(starts, s)) and s + x[0] - 1 <= reach[i - 1])}
         return sum(w for _, w in best.values()), len(best), max(0, words)
 
     def raw(self, text: str | None) -> float:
@@ -166,10 +176,11 @@ def _context_batches(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Ite
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             folded, found = fold(text), set()
-            for end, (size, _) in () if matcher.empty else matcher.automaton.iter(folded):
-                at = folded.count(" ", 0, end - size + 2) - 1
-                words = folded.split(maxsplit=at + 2)
-                found |= {" ".join(w.split(" ")[0] for w in words[i : i + 2]) for i in (at - 1, at) if i >= 0 and len(words) > i + 1}
+            words = folded.split()
+            places = np.flatnonzero(np.frombuffer(folded.encode("latin-1"), np.uint8) == 0x20)  # the space before each word, and the last
+            starts = np.fromiter((end - size + 1 for end, (size, _) in (() if matcher.empty else matcher.automaton.iter(folded))), np.int64)
+            for at in set(np.searchsorted(places, starts).tolist()):
+                found |= {" ".join(words[i : i + 2]) for i in (at - 1, at) if i >= 0 and len(words) > i + 1}
             counts.update((p, bool(toxic)) for p in found)
     names = [k for k in counts]
     yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in names], pa.string()), pa.array([k[1] for k in names], pa.bool_()), pa.array([counts[k] for k in names], pa.int64())], ["phrase", "toxic", "n"])
@@ -273,7 +284,9 @@ def _score_batches(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Itera
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """docs with score (0 to 1, higher is likelier toxic) and hits for each of its rows.
 
-    Null and empty texts and those without a letter have no hit and the curve's least score.
+    Null and empty texts and those without a letter have no hit and the curve's least score. A text
+    is matched whole, in time linear in its length. Of entries at one word the longest counts, so
+    there are no ties.
     Repeated rows give repeated results; columns named ``score`` or ``hits`` give way, others pass
     through; an empty table gives an empty result. There is no shuffle.
     """

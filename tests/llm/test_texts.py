@@ -11,7 +11,8 @@ from gridloom.llm import bpe, langid, licenses, mixing, toxicity, warc
 
 
 def test_folding_undoes_look_alikes_and_digits():
-    assert toxicity.fold("1D10T!") == " idiot "
+    assert toxicity.fold("1D10T!") == toxicity.fold("!!! id!ot !") == " idiot "
+    assert toxicity.fold("6a26 9oo") == " gazg goo "
     assert toxicity.fold("іdіоt") == " idiot "
     assert toxicity.fold(None) == toxicity.fold("  ?? ") == " "
     assert toxicity.fold("Ça—va") == " ca va "
@@ -28,6 +29,53 @@ def test_longest_entry_counts_once_and_exceptions_do_not():
     assert toxicity.Matcher(toxicity.Lexicon({})).score(0.0) < 0.5
 
 
+def plain_weigh(lexicon, text):
+    """Every entry tried at every word, every exception at every place."""
+    words = toxicity.fold(text).split()
+    line = toxicity.fold(text)
+    phrases = [toxicity.fold(p) for p in lexicon.exceptions]
+    covered = [(i, i + len(p) - 1) for p in phrases if p != " " for i in range(len(line)) if line.startswith(p, i)]
+    total, hits, at = 0.0, 0, 0
+    for word in words:
+        found = {}
+        for entry, weight in lexicon.entries.items():
+            folded = toxicity.folded_entry(entry)
+            if line.startswith(folded, at):
+                found[len(folded)] = weight
+        if found and not any(a <= at and at + max(found) - 1 <= b for a, b in covered):
+            total, hits = total + found[max(found)], hits + 1
+        at += len(word) + 1
+    return total, hits, len(words)
+
+
+def test_weights_equal_brute_force():
+    rng = random.Random(3)
+    words = ["bad", "badly", "b4d", "news", "idea", "scum", "scumbag", "pond", "of", "the", "Bàd", "idi0t", "id!ot", "!", "12"]
+    lexicon = toxicity.Lexicon({"bad ": 2.0, " ba": 0.5, " scum": 1.5, "scumbag ": 3.0, "idiot ": 4.0, " id": 0.25}, ["bad news", "scum of the pond", "the bad", "of the bad news", "idea bad"])
+    matcher = toxicity.Matcher(lexicon)
+    for _ in range(400):
+        text = rng.choice([" ", ", ", "\n"]).join(rng.choices(words, k=rng.randint(0, 30)))
+        got, want = matcher.weigh(text), plain_weigh(lexicon, text)
+        assert got[1:] == want[1:] and abs(got[0] - want[0]) < 1e-9, text
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    lexicon = toxicity.Lexicon({"bad ": 2.0, " idea": 1.0}, ["bad news"])
+    matcher = toxicity.Matcher(lexicon)
+    text = "bad news bad idea " * 110_000  # about 2 MB
+    began = time.perf_counter()
+    assert matcher.weigh(text)[1:] == (220_000, 440_000)
+    assert time.perf_counter() - began < 2.0
+    import pyarrow as pa
+
+    began = time.perf_counter()
+    batch = pa.RecordBatch.from_pydict({"text": [text], "toxic": [False]})
+    assert sum(b.num_rows for b in toxicity._context_batches(iter([batch]), lexicon)) > 0
+    assert time.perf_counter() - began < 4.0
+
+
 def toxic_corpus(n=600):
     rng = random.Random(2)
     words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("ln", "rt", "mp")]
