@@ -3,7 +3,7 @@
 A template is license wording with two marks: ``<<optional>> ... <</optional>>`` holds words that may
 be left out, ``<<var name max>>`` stands for up to ``max`` words of any wording (a version, a name).
 All other wording is mandatory: a place of a text is accepted only if its words match it exactly.
-Templates are compiled together into one automaton over words whose states are sets of template
+The templates (license_texts) are whole license texts, whole notices, and names. They are compiled together into one automaton over words whose states are sets of template
 positions. A text is read once; only places where some template's first word stands are followed,
 and words outside all templates lead to no state at once.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import read, worker_task
+from gridloom.llm.license_texts import TEMPLATES
 
 #: A-Z in lower case; bytes under 0x80 that are neither digits nor letters part words.
 _FOLD = bytes(x if x >= 0x80 or 0x30 <= x <= 0x39 or 0x61 <= x <= 0x7A else x + 32 if 0x41 <= x <= 0x5A else 0x20 for x in range(256))
@@ -27,22 +28,6 @@ _FOLD = bytes(x if x >= 0x80 or 0x30 <= x <= 0x39 or 0x61 <= x <= 0x7A else x +
 #: The base phrases and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Templates by label: short notices as they stand in source files and on pages, and the fixed parts of common license texts.
-TEMPLATES = {
-    "apache-2.0": "licensed under the apache license <<optional>>version<</optional>> 2 0",
-    "mit": "<<optional>>released<</optional>> <<optional>>distributed<</optional>> <<optional>>licensed<</optional>> under the mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
-    "gpl": "<<optional>>licensed under<</optional>> the gnu general public license <<optional>>as published by the free software foundation<</optional>> <<optional>>either<</optional>> version <<var number 2>>",
-    "lgpl": "gnu lesser general public license <<optional>>version <<var number 2>><</optional>>",
-    "mpl-2.0": "subject to the terms of the mozilla public license v 2 0",
-    "cc-by-nc": "<<optional>>licensed under<</optional>> <<optional>>a<</optional>> cc by nc <<var number 2>>",
-    "cc-by-sa": "<<optional>>licensed under<</optional>> <<optional>>a<</optional>> cc by sa <<var number 2>>",
-    "cc-by-text": "creative commons attribution <<optional>>noncommercial<</optional>> <<optional>>sharealike<</optional>> <<var number 2>> international <<optional>>public<</optional>> license",
-    "copyright": "copyright <<optional>>c<</optional>> <<var holder 8>> all rights reserved",
-}
-
 _MARK = re.compile(r"<<(/?optional|var \w+ \d+)>>")
 
 
@@ -101,6 +86,10 @@ class Automaton:
         return frozenset(found)
 
 
+def each_template(templates: dict[str, str | tuple[str, ...]]) -> list[tuple[str, str]]:
+    return [(label, markup) for label, found in templates.items() for markup in ((found,) if isinstance(found, str) else found)]
+
+
 def fold(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD)
 
@@ -108,9 +97,9 @@ def fold(text: str) -> bytes:
 class Matcher:
     """Sets of automaton states, made as texts need them, behind a search for the first words."""
 
-    def __init__(self, templates: dict[str, str], phrases: dict[str, str]) -> None:
+    def __init__(self, templates: dict[str, str | tuple[str, ...]], phrases: dict[str, str]) -> None:
         self.auto = Automaton()
-        for label, markup in templates.items():
+        for label, markup in each_template(templates):
             self.auto.add(label, markup)
         self.start = self.auto.closed(self.auto.starts)
         if self.start & self.auto.ends.keys() or any(self.auto.free[x] for x in self.start):
@@ -120,7 +109,7 @@ class Matcher:
         self.known = frozenset(w for m in self.auto.moves for w in m)
         self.phrases = [(fold(p).split(), label) for p, label in phrases.items()]
         # A text without one of these words holds no template and no phrase; each is a rare word of one.
-        self.signs = sorted({max(self.required(t), key=len) for t in templates.values()} | {max(p, key=len) for p, _ in self.phrases})
+        self.signs = sorted({max(self.required(t), key=len) for _, t in each_template(templates)} | {max(p, key=len) for p, _ in self.phrases})
 
     @staticmethod
     def required(markup: str) -> list[bytes]:
@@ -171,7 +160,7 @@ class Matcher:
 
 
 @worker_task("licenses")
-def _scan_batches(batches: Iterator[pa.RecordBatch], templates: dict[str, str], phrases: dict[str, str]) -> Iterator[pa.RecordBatch]:
+def _scan_batches(batches: Iterator[pa.RecordBatch], templates: dict[str, str | tuple[str, ...]], phrases: dict[str, str]) -> Iterator[pa.RecordBatch]:
     matcher = Matcher(templates, phrases)
     place = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string())]))
     pack = lambda x: [dict(zip(("first", "last", "label"), y, strict=True)) for y in x]
@@ -185,12 +174,14 @@ def _scan_batches(batches: Iterator[pa.RecordBatch], templates: dict[str, str],
             )
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = BASE_PHRASES) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES, phrases: dict[str, str] = BASE_PHRASES) -> DataFrame:
     """doc_id, n_words, phrases, templates for each row of docs (doc_id, text).
 
     phrases and templates are arrays of (first, last, label), places counted in words from 0. Null
     and empty texts have no words and no places; repeated rows give repeated results; other columns
-    are ignored; an empty table gives an empty result. There is no shuffle.
+    are ignored; an empty table gives an empty result. A text is scanned whole. Of a template's
+    places with one start the longest is given; places of several templates may overlap, and all
+    are given. There is no shuffle.
     """
     place = "array<struct<first: bigint, last: bigint, label: string>>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_scan_batches, templates=templates, phrases=phrases), f"doc_id long, n_words long, phrases {place}, templates {place}")
@@ -231,7 +222,7 @@ def scan_sql() -> str:
     base = ", ".join(f"{places(p)} AS p{k}" for k, p in enumerate(BASE_PHRASES))
     n = range(len(BASE_PHRASES))
     named = " || ".join(f"CASE WHEN len(p{k}) > 0 THEN ['{label}'] ELSE [] END" for k, label in enumerate(BASE_PHRASES.values()))
-    own = " || ".join(f"CASE WHEN regexp_matches(t, '{template_pattern(m)}') THEN ['{label}'] ELSE [] END" for label, m in TEMPLATES.items())
+    own = " || ".join("CASE WHEN " + " OR ".join(f"regexp_matches(t, '{template_pattern(m)}')" for m in found) + f" THEN ['{label}'] ELSE [] END" for label, found in TEMPLATES.items())
     every = " || ".join(f"p{k}" for k in n)
     return rf"""
 WITH words AS (
