@@ -98,47 +98,59 @@ def run_header(layer: str, model: str, run_id: str, cycle_iso: str, dlat: float,
     return out | ({"generated_at": generated_at} if generated_at else {})
 
 
+#: Columns that cells of several runs carry: the run and its cycle as headers show them.
+RUN_COLUMNS = ("run_id", "cycle")
+
+
 def patches(cells: DataFrame, variables: list[Variable]) -> DataFrame:
-    """tile_id, variable, member, step_h, lat0, lon0, nlat, nlon, has_data, raw: the integers of one field in one tile, rows from the south, columns from the west."""
+    """tile_id, variable, member, step_h, lat0, lon0, nlat, nlon, has_data, raw, and run_id and cycle where cells have them: the integers of one field in one tile, rows from the south, columns from the west."""
     raw = None
     for v in variables:
         own = quantize(F.col("value"), v.dtype, float(v.scale), v.offset).cast("smallint")
         raw = F.when(F.col("variable") == v.name, own) if raw is None else raw.when(F.col("variable") == v.name, own)
     placed = with_tile(cells.withColumn("raw", raw))
-    return placed.groupBy("tile_id", "variable", "member", "step_h").agg(
+    runs = [c for c in RUN_COLUMNS if c in cells.columns]
+    return placed.groupBy(*runs, "tile_id", "variable", "member", "step_h").agg(
         F.min("lat").alias("lat0"), F.min("lon").alias("lon0"), (F.max("i") - F.min("i") + 1).alias("nlat"), (F.max("j") - F.min("j") + 1).alias("nlon"),
         F.bool_or(F.col("value").isNotNull() & ~F.isnan("value")).alias("has_data"), F.transform(F.array_sort(F.collect_list(F.struct("i", "j", "raw"))), lambda x: x["raw"]).alias("raw"),
     )
 
 
 def build_tiles(cells: DataFrame, variables: list[Variable], header: dict) -> DataFrame:
-    """tile_id, header, payload (the encoded tile), gz, bytes: every tile in which some variable has data.
+    """run_id, tile_id, header, payload (the encoded tile), gz, bytes: every tile in which some variable has data.
 
-    One task builds a tile from its patches, a few megabytes however large the run.
+    Cells with the columns run_id and cycle make the tiles of each of those runs, others those of
+    the header's run. One task builds a tile from its patches, a few megabytes however large the run.
     """
     found = patches(cells, variables)
-    kept = found.groupBy("tile_id").agg(F.bool_or("has_data").alias("any_data")).where("any_data").select("tile_id")
+    runs = [c for c in RUN_COLUMNS if c in cells.columns]
     axes = {n: x["offsets_h"] for n, x in header["time_axes"].items()}
+    schema = pa.schema([("run_id", pa.string()), ("tile_id", pa.string()), ("header", pa.string()), ("payload", pa.binary()), ("gz", pa.binary()), ("bytes", pa.int64())])
 
     def one(table: pa.Table) -> pa.Table:
-        first = table.slice(0, 1).to_pylist()[0]
-        head = header | {n: first[n] for n in ("tile_id", "lat0", "lon0", "nlat", "nlon")}
+        if not any(table["has_data"].to_pylist()):
+            return schema.empty_table()
+        first = table.drop_columns("raw").slice(0, 1).to_pylist()[0]
+        head = header | {n: first[n] for n in (*runs, "tile_id", "lat0", "lon0", "nlat", "nlon")}
+        head["time_axes"] = {n: x | {"base": head["cycle"]} for n, x in header["time_axes"].items()}
         arrays = {}
         for v in variables:
             shape = shape_of(head, v.public())
             arrays[v.name] = np.full(shape, DTYPES[v.dtype][1], NUMPY[v.dtype])
         kinds = {v.name: v for v in variables}
-        for name, member, step, raw in zip(*(table[c].to_pylist() for c in ("variable", "member", "step_h", "raw")), strict=True):
+        lists = table["raw"].combine_chunks()
+        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        for k, (name, member, step) in enumerate(zip(*(table[c].to_pylist() for c in ("variable", "member", "step_h")), strict=True)):
             v = kinds[name]
             at = axes[v.axis].index(step)
             place = (member or 0, at) if v.per_member else (at,)
-            arrays[name][place] = np.array(raw).reshape(head["nlat"], head["nlon"])
+            arrays[name][place] = flat[ends[k] : ends[k + 1]].reshape(head["nlat"], head["nlon"])
         blob = encode(head, arrays)
         gz = packed(blob)
         text = json.dumps(read_header(blob)[0])
-        return pa.table({"tile_id": [head["tile_id"]], "header": [text], "payload": pa.array([blob], pa.binary()), "gz": pa.array([gz], pa.binary()), "bytes": pa.array([len(gz)], pa.int64())})
+        return pa.table([[head["run_id"]], [head["tile_id"]], [text], [blob], [gz], [len(gz)]], schema=schema)
 
-    return found.join(kept, "tile_id").groupBy("tile_id").applyInArrow(lambda t: one(t), "tile_id string, header string, payload binary, gz binary, bytes long")
+    return found.groupBy(*runs, "tile_id").applyInArrow(lambda t: one(t), "run_id string, tile_id string, header string, payload binary, gz binary, bytes long")
 
 
 CELLS = "tile_id string, run_id string, variable string, member int, step_h int, i int, j int, lat double, lon double, value float"

@@ -32,8 +32,14 @@ def with_tile(cells: DataFrame) -> DataFrame:
 
 
 def tile_extents(cells: DataFrame) -> DataFrame:
-    """One row for each tile: its first cell's coordinates (not its corner's), rows and columns, and whether any variable has data."""
+    """One row for each tile: its first cell's coordinates (not its corner's), rows and columns, and whether any variable has data; NaN is none.
+
+    A tile has few distinct coordinates, so sets of them combine on the map side; distinct counts
+    would copy every cell three times.
+    """
+    some = F.col("value").isNotNull() & ~F.isnan("value")
+    distinct = lambda c: F.size(F.collect_set(c)).cast("long")
     return with_tile(cells).groupBy("tile_id").agg(
-        F.min("lat").alias("lat0"), F.min("lon").alias("lon0"), F.count_distinct("lat").alias("nlat"), F.count_distinct("lon").alias("nlon"),
-        F.bool_or(F.col("value").isNotNull()).alias("has_data"),
+        F.min("lat").alias("lat0"), F.min("lon").alias("lon0"), distinct("lat").alias("nlat"), distinct("lon").alias("nlon"),
+        F.bool_or(some).alias("has_data"),
     )

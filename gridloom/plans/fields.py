@@ -18,11 +18,11 @@ from gridloom.sources import index_files, providers
 SPEEDS = f"""{POINTS}, speeds AS (
   SELECT step_h, CAST(l_partkey % 40 AS INTEGER) AS i, member,
          CASE WHEN count(u) = count(*) THEN CAST(round_even(max(CAST(sqrt(CAST(u * u + v * v AS DOUBLE)) AS FLOAT) * {SQL_KT}) * CAST(64 AS DOUBLE), 0) / 64 AS FLOAT) END AS value
-  FROM points WHERE member < 6 OR l_partkey % 5 = 0 GROUP BY ALL)"""
+  FROM points GROUP BY ALL)"""
 
 
 def speeds(spark, d):
-    rows = points(spark, d).where("member < 6 or l_partkey % 5 = 0").select("step_h", (F.col("l_partkey") % 40).cast("int").alias("i"), "member", speed_kt(F.col("u"), F.col("v")).alias("s"))
+    rows = points(spark, d).select("step_h", (F.col("l_partkey") % 40).cast("int").alias("i"), "member", speed_kt(F.col("u"), F.col("v")).alias("s"))
     whole = F.count("s") == F.count(F.lit(1))
     return rows.groupBy("step_h", "i", "member").agg(F.when(whole, (F.rint(F.max("s").cast("double") * 64) / 64).cast("float")).alias("value"))
 
@@ -75,12 +75,21 @@ _LONG = f"""{POINTS}, long AS (
 cells AS (SELECT variable, member, step_h, i, j, max(value) AS value FROM long GROUP BY ALL)"""
 
 
-def cells(spark, d):
-    p = points(spark, d)
+_POINT = ["member", "step_h", "i", "j"]
+
+
+def wide_cells(spark, d):
+    """One row for each point with a column for each variable: one exchange of whole rows."""
     kt = lambda c: c * F.lit(1.943844).cast("float")
     gust = kt(F.col("gust")) * F.when(F.col("i") % 50 == 0, F.lit(5.0).cast("float")).otherwise(F.lit(1.0).cast("float"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("variable"), v.cast("float").alias("value")) for n, v in (("wind_u_kt", kt(F.col("u"))), ("wind_v_kt", kt(F.col("v"))), ("gust_kt", gust), ("salinity", F.lit(None)))]))
-    return p.withColumn("p", pairs).groupBy("p.variable", "member", "step_h", "i", "j").agg(F.max("p.value").alias("value"))
+    values = {"wind_u_kt": kt(F.col("u")), "wind_v_kt": kt(F.col("v")), "gust_kt": gust}
+    return points(spark, d).groupBy(*_POINT).agg(*[F.max(v.cast("float")).alias(n) for n, v in values.items()])
+
+
+def cells(spark, d):
+    """The same points with a row for each variable, turned after the exchange; salinity is always missing."""
+    wide = wide_cells(spark, d).withColumn("salinity", F.lit(None).cast("float"))
+    return wide.unpivot(_POINT, ["wind_u_kt", "wind_v_kt", "gust_kt", "salinity"], "variable", "value")
 
 
 _RANGES = "ranges AS (" + " UNION ALL ".join(f"SELECT '{k}' AS variable, CAST({a} AS DOUBLE) AS low, CAST({b} AS DOUBLE) AS high" for k, (a, b) in catalog.RANGES.items()) + ")"
@@ -103,8 +112,7 @@ def layer_limits(spark, d):
 
 @query("gust_consistency", f"WITH {_LONG}, w AS (SELECT member, step_h, i, j, max(CASE WHEN variable = 'wind_u_kt' THEN value END) AS u, max(CASE WHEN variable = 'wind_v_kt' THEN value END) AS v, max(CASE WHEN variable = 'gust_kt' THEN value END) AS g FROM cells GROUP BY ALL), b AS (SELECT member, CAST(sqrt(CAST(u * u + v * v AS DOUBLE)) AS FLOAT) AS s, g FROM w WHERE u IS NOT NULL AND v IS NOT NULL AND g IS NOT NULL) SELECT member, avg(CASE WHEN s <= g + CAST(2 AS FLOAT) THEN 1.0::DOUBLE ELSE 0 END) AS share, count(*) AS points FROM b GROUP BY member")
 def gust_consistency(spark, d):
-    wide = checks.by_point(cells(spark, d), ["wind_u_kt", "wind_v_kt", "gust_kt"], ["member", "step_h", "i", "j"])
-    return checks.gust_share(wide, speed_kt(F.col("wind_u_kt"), F.col("wind_v_kt"), to_kt=False), F.col("gust_kt"), ("member",))
+    return checks.gust_share(wide_cells(spark, d), speed_kt(F.col("wind_u_kt"), F.col("wind_v_kt"), to_kt=False), F.col("gust_kt"), ("member",))
 
 
 @query("gust_mean_consistency", f"WITH {SPEEDS}, m AS (SELECT step_h, i, CASE WHEN count(value) = count(*) THEN CAST(avg(CAST(value AS DOUBLE)) AS FLOAT) END AS w FROM speeds GROUP BY step_h, i), g AS (SELECT step_h, i, w, w - CAST(i % 5 AS FLOAT) AS gm FROM m) SELECT i, avg(CASE WHEN w <= gm + CAST(2 AS FLOAT) THEN 1.0::DOUBLE ELSE 0 END) AS share, count(*) AS points FROM g WHERE w IS NOT NULL AND gm IS NOT NULL GROUP BY i")
@@ -202,18 +210,29 @@ def missing_instants(spark, d):
 _STEPS = "steps AS (SELECT unnest(range(0, 241, 3)) AS step_h), vars AS (SELECT unnest(['A', 'N', 'R']) AS var)"
 
 
-@query("scaffold_fill", f"WITH {_STEPS}, f AS (SELECT l_orderkey % 81 * 3 AS step_h, l_returnflag AS var, count(*) AS n, max(l_quantity) AS top FROM lineitem WHERE l_linenumber >= 6 AND l_orderkey % 5 = 0 GROUP BY ALL) SELECT CAST(s.step_h AS INTEGER) AS step_h, v.var, coalesce(n, 0) AS n, coalesce(CAST(top AS SMALLINT), -32768) AS raw FROM steps s CROSS JOIN vars v LEFT JOIN f ON f.step_h = s.step_h AND f.var = v.var")
+def _dense(spark, d):
+    """A station is a supplier: there are more steps by variables by stations than most tables have rows for, hence gaps."""
+    stations = table(spark, d, "supplier").select(F.col("s_suppkey").alias("station"))
+    fields = scaffold.scaffold(spark.range(0, 241, 3).select(F.col("id").cast("int").alias("step_h")), spark.createDataFrame([("A",), ("N",), ("R",)], "var string"))
+    return scaffold.scaffold(stations, fields)
+
+
+def _found(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), (F.col("l_orderkey") % 81 * 3).cast("int").alias("step_h"), F.col("l_returnflag").alias("var"), "l_quantity")
+
+
+_DENSE = "SELECT s_suppkey AS station, CAST(step_h AS INTEGER) AS step_h, var FROM supplier CROSS JOIN steps CROSS JOIN vars"
+
+
+@query("scaffold_fill", f"WITH {_STEPS}, dense AS ({_DENSE}), f AS (SELECT l_suppkey AS station, l_orderkey % 81 * 3 AS step_h, l_returnflag AS var, count(*) AS n, max(l_quantity) AS top FROM lineitem GROUP BY ALL) SELECT s.station, s.step_h, s.var, coalesce(n, 0) AS n, coalesce(CAST(top AS SMALLINT), -32768) AS raw FROM dense s LEFT JOIN f ON f.station = s.station AND f.step_h = s.step_h AND f.var = s.var")
 def scaffold_fill(spark, d):
-    dense = scaffold.scaffold(spark.range(0, 241, 3).select(F.col("id").cast("int").alias("step_h")), spark.createDataFrame([("A",), ("N",), ("R",)], "var string"))
-    found = table(spark, d, "lineitem").where("l_linenumber >= 6 and l_orderkey % 5 = 0").groupBy((F.col("l_orderkey") % 81 * 3).cast("int").alias("step_h"), F.col("l_returnflag").alias("var")).agg(F.count("*").alias("n"), F.max("l_quantity").alias("top"))
-    return scaffold.filled(dense, found, ["step_h", "var"]).select("step_h", "var", F.coalesce("n", F.lit(0)).alias("n"), quantize(F.col("top"), "i16", 1.0).alias("raw"))
+    found = _found(spark, d).groupBy("station", "step_h", "var").agg(F.count("*").alias("n"), F.max("l_quantity").alias("top"))
+    return scaffold.filled(_dense(spark, d), found, ["station", "step_h", "var"]).select("station", "step_h", "var", F.coalesce("n", F.lit(0)).alias("n"), quantize(F.col("top"), "i16", 1.0).alias("raw"))
 
 
-@query("missing_steps", f"WITH {_STEPS} SELECT CAST(step_h AS INTEGER) AS step_h, var FROM steps CROSS JOIN vars WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_linenumber = 6 AND l_orderkey % 10 = 0 AND l_orderkey % 81 * 3 = step_h AND l_returnflag = var)")
+@query("missing_steps", f"WITH {_STEPS}, dense AS ({_DENSE}) SELECT s.station, s.step_h, s.var FROM dense s ANTI JOIN lineitem ON l_suppkey = s.station AND l_orderkey % 81 * 3 = s.step_h AND l_returnflag = s.var")
 def missing_steps(spark, d):
-    dense = scaffold.scaffold(spark.range(0, 241, 3).select(F.col("id").cast("int").alias("step_h")), spark.createDataFrame([("A",), ("N",), ("R",)], "var string"))
-    have = table(spark, d, "lineitem").where("l_linenumber = 6 and l_orderkey % 10 = 0").select((F.col("l_orderkey") % 81 * 3).cast("int").alias("step_h"), F.col("l_returnflag").alias("var"))
-    return scaffold.missing(dense, have, ["step_h", "var"])
+    return scaffold.missing(_dense(spark, d), _found(spark, d), ["station", "step_h", "var"])
 
 
 _KINDS = "CASE l_linenumber WHEN 1 THEN '10u' WHEN 2 THEN '10v' WHEN 3 THEN '10FG3' WHEN 4 THEN 'i10fg' ELSE 'msl' END"
@@ -236,10 +255,10 @@ def field_kinds(spark, d):
     return open_fields(spark, d).groupBy("kind", "step_h").agg(F.count("*").alias("n"))
 
 
-@query("wind_steps_missing", f"WITH {_OPEN} SELECT step_h FROM fields WHERE k = 0 GROUP BY step_h HAVING count(DISTINCT CASE WHEN kind IN ('u', 'v') THEN kind END) < 2")
+@query("wind_steps_missing", f"WITH {_OPEN} SELECT k, step_h FROM fields GROUP BY k, step_h HAVING count(DISTINCT CASE WHEN kind IN ('u', 'v') THEN kind END) < 2")
 def wind_steps_missing(spark, d):
-    rows = open_fields(spark, d).where("k = 0").groupBy("step_h").agg(F.count_distinct(F.when(F.col("kind").isin("u", "v"), F.col("kind"))).alias("kinds"))
-    return rows.where("kinds < 2").select("step_h")
+    rows = open_fields(spark, d).groupBy("k", "step_h").agg(F.count_distinct(F.when(F.col("kind").isin("u", "v"), F.col("kind"))).alias("kinds"))
+    return rows.where("kinds < 2").select("k", "step_h")
 
 
 @query("gust_all_or_nothing", f"WITH {_OPEN}, s AS (SELECT DISTINCT step_h FROM fields WHERE step_h > 0) SELECT k, count(DISTINCT CASE WHEN kind = 'gust' AND step_h > 0 THEN step_h END) AS gust_steps, count(DISTINCT CASE WHEN kind = 'gust' AND step_h > 0 THEN step_h END) = (SELECT count(*) FROM s) AS gusts FROM fields GROUP BY k")

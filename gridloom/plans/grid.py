@@ -90,9 +90,9 @@ def tile_members(spark, d):
     return rows.groupBy(tile_origin_lat(F.col("lat")).alias("lat0")).agg(F.count("*").alias("nlat"), F.min("lat").alias("first_lat"))
 
 
-@query("tile_has_data", f"WITH {_TILED} SELECT {_TILE} AS tile_id FROM tiled WHERE member >= 5 GROUP BY 1 HAVING bool_or(u IS NOT NULL)")
+@query("tile_has_data", f"WITH {_TILED} SELECT {_TILE} AS tile_id FROM tiled GROUP BY 1 HAVING bool_or(member >= 5 AND u IS NOT NULL)")
 def tile_has_data(spark, d):
-    cells = points(spark, d).where("member >= 5").withColumn("value", F.col("u"))
+    cells = points(spark, d).withColumn("value", F.when(F.col("member") >= 5, F.col("u")))
     return tiling.tile_extents(cells).where("has_data").select("tile_id")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.catalog import Variable
-from gridloom.functions import fnv64, le_payload, padded_length, quantize
+from gridloom.functions import fnv64, le_payload, padded_length, quantize, run_id
 from gridloom.operators import codec, publishing, sizing
 from gridloom.operators.tiling import with_tile
 from gridloom.plans.derived import RUNS, points, query, runs, sql_quantize, sql_tile
@@ -158,39 +158,48 @@ def previous_run(spark, d):
 
 
 def patch_tiles(spark, d):
-    """Every embedding of 64 elements as the 8 x 8 cells of a tile of its own, encoded."""
-    rows = table(spark, d, "embeddings").where(F.size("embedding") == 64)
-    corner = rows.select("vec_id", (F.col("vec_id") % 18 * 10 - 90).cast("int").alias("lat0"), (F.floor(F.col("vec_id") / 18) % 36 * 10 - 180).cast("int").alias("lon0"), F.posexplode("embedding").alias("pos", "e"))
-    cells = corner.where("vec_id < 648").select(F.lit("patch").alias("variable"), F.lit(None).cast("int").alias("member"), F.lit(0).alias("step_h"), F.floor(F.col("pos") / 8).cast("int").alias("i"), (F.col("pos") % 8).cast("int").alias("j"), (F.col("lat0") + F.floor(F.col("pos") / 8)).cast("double").alias("lat"), (F.col("lon0") + F.col("pos") % 8).cast("double").alias("lon"), F.col("e").cast("float").alias("value"))
-    header = codec.run_header("weather", "derived", "weather-20240101T00Z", "2024-01-01T00:00Z", 1.0, 1.0, {"steps": [0]}, [_PATCH])
+    """Every embedding as the cells of a tile of its own, eight to a row, encoded; the world has 648 tiles, and each further 648 vectors are the run of a further cycle."""
+    k = F.col("vec_id")
+    cycle = F.timestamp_seconds(F.lit(1704067200) + F.floor(k / 648) * 21600)  # from 2024-01-01, six hours apart
+    rows = table(spark, d, "embeddings").select(
+        (k % 18 * 10 - 90).cast("int").alias("lat0"), (F.floor(k / 18) % 36 * 10 - 180).cast("int").alias("lon0"), cycle.alias("at"), F.posexplode("embedding").alias("pos", "e")
+    )
+    i, j = F.floor(F.col("pos") / 8).cast("int"), (F.col("pos") % 8).cast("int")
+    cells = rows.select(
+        run_id(F.lit("weather"), F.col("at")).alias("run_id"), F.date_format("at", "yyyy-MM-dd'T'HH:mm'Z'").alias("cycle"), F.lit("patch").alias("variable"), F.lit(None).cast("int").alias("member"), F.lit(0).alias("step_h"),
+        i.alias("i"), j.alias("j"), (F.col("lat0") + i).cast("double").alias("lat"), (F.col("lon0") + j).cast("double").alias("lon"), F.col("e").cast("float").alias("value"),
+    )
+    header = codec.run_header("weather", "derived", "", "", 1.0, 1.0, {"steps": [0]}, [_PATCH])
     return codec.build_tiles(cells, [_PATCH], header)
 
 
-_CORNERS = f"WITH {_RAW}, c AS (SELECT *, CAST(vec_id % 18 * 10 - 90 AS INTEGER) AS lat0, CAST(vec_id // 18 % 36 * 10 - 180 AS INTEGER) AS lon0 FROM raws WHERE vec_id < 648)"
+_CORNERS = f"""WITH {_RAW}, c AS (
+  SELECT *, CAST(vec_id % 18 * 10 - 90 AS INTEGER) AS lat0, CAST(vec_id // 18 % 36 * 10 - 180 AS INTEGER) AS lon0,
+         'weather-' || strftime(TIMESTAMP '2024-01-01' + to_hours(CAST(vec_id // 648 * 6 AS INTEGER)), '%Y%m%dT%HZ') AS run_id
+  FROM raws)"""
 
 
-@query("codec_roundtrip", f"{_CORNERS} SELECT {sql_tile('lat0', 'lon0')} AS tile_id, CAST(pos // 8 AS INTEGER) AS i, CAST(pos % 8 AS INTEGER) AS j, CAST(lat0 + pos // 8 AS DOUBLE) AS lat, CAST(lon0 + pos % 8 AS DOUBLE) AS lon, CAST(CAST(raw AS FLOAT) * CAST(0.01 AS FLOAT) AS DOUBLE) AS value FROM c")
+@query("codec_roundtrip", f"{_CORNERS} SELECT run_id, {sql_tile('lat0', 'lon0')} AS tile_id, CAST(pos // 8 AS INTEGER) AS i, CAST(pos % 8 AS INTEGER) AS j, CAST(lat0 + pos // 8 AS DOUBLE) AS lat, CAST(lon0 + pos % 8 AS DOUBLE) AS lon, CAST(CAST(raw AS FLOAT) * CAST(0.01 AS FLOAT) AS DOUBLE) AS value FROM c")
 def codec_roundtrip(spark, d):
-    return codec.read_tiles(patch_tiles(spark, d)).select("tile_id", "i", "j", "lat", "lon", F.col("value").cast("double").alias("value"))
+    return codec.read_tiles(patch_tiles(spark, d)).select("run_id", "tile_id", "i", "j", "lat", "lon", F.col("value").cast("double").alias("value"))
 
 
 @query("tiles_gz")
 def tiles_gz(spark, d):
     """Compressed bytes: no SQL makes them."""
-    tiles = patch_tiles(spark, d)
-    entries = publishing.manifest_entries(tiles, fnv64(F.col("gz")))
-    return entries.join(tiles.select("tile_id", F.octet_length("payload").cast("long").alias("raw_bytes")), "tile_id")
+    return publishing.manifest_entries(patch_tiles(spark, d), fnv64(F.col("gz")), "run_id", F.octet_length("payload").cast("long").alias("raw_bytes"))
 
 
-@query("tile_payload_bytes", f"{_CORNERS} SELECT {sql_tile('lat0', 'lon0')} AS tile_id, string_agg(printf('%02x', (CAST(raw AS INTEGER) + 256) % 256), '' ORDER BY pos) AS payload FROM c GROUP BY 1")
+@query("tile_payload_bytes", f"{_CORNERS} SELECT run_id, {sql_tile('lat0', 'lon0')} AS tile_id, string_agg(printf('%02x', (CAST(raw AS INTEGER) + 256) % 256), '' ORDER BY pos) AS payload FROM c GROUP BY 1, 2")
 def tile_payload_bytes(spark, d):
-    return patch_tiles(spark, d).select("tile_id", F.lower(F.right(F.hex("payload"), F.lit(128))).alias("payload"))
+    return patch_tiles(spark, d).select("run_id", "tile_id", F.lower(F.right(F.hex("payload"), F.lit(128))).alias("payload"))
 
 
-@query("tile_header", f"{_CORNERS} SELECT DISTINCT {sql_tile('lat0', 'lon0')} AS tile_id, CAST(lat0 AS DOUBLE) AS lat0, CAST(lon0 AS DOUBLE) AS lon0, 8 AS nlat, 8 AS nlon, CAST(64 AS BIGINT) AS byte_length FROM c")
+@query("tile_header", f"{_CORNERS} SELECT DISTINCT run_id, {sql_tile('lat0', 'lon0')} AS tile_id, CAST(lat0 AS DOUBLE) AS lat0, CAST(lon0 AS DOUBLE) AS lon0, 8 AS nlat, 8 AS nlon, CAST(64 AS BIGINT) AS byte_length FROM c")
 def tile_header(spark, d):
-    head = F.from_json("header", "tile_id string, lat0 double, lon0 double, nlat int, nlon int, variables array<struct<byte_length: long>>")
-    return patch_tiles(spark, d).select(head.alias("h")).select("h.tile_id", "h.lat0", "h.lon0", "h.nlat", "h.nlon", F.col("h.variables")[0]["byte_length"].alias("byte_length"))
+    head = F.from_json("header", "run_id string, tile_id string, lat0 double, lon0 double, nlat int, nlon int, variables array<struct<byte_length: long>>")
+    rows = patch_tiles(spark, d).select(head.alias("h"))
+    return rows.select("h.run_id", "h.tile_id", "h.lat0", "h.lon0", "h.nlat", "h.nlon", F.col("h.variables")[0]["byte_length"].alias("byte_length"))
 
 
 # --- sizes
