@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None, build: Callable[..., Built] = build) ->
             return 1
         header = run_header(run.layer, run.model, run.run_id, run.cycle_iso, built.dlat, built.dlon, run.axes, run.variables, run.members)
         tiles = build_tiles(cells, run.variables, header).select("tile_id", "gz").cache()
-        store = stores.DirStore(args.dry_run) if args.dry_run else stores.store_from_env()
+        store = stores.FolderStore(args.dry_run) if args.dry_run else stores.store_from_env()
         done = publish(store, run, tiles, report, stores.max_bytes_from_env())
     except PublishError as e:
         print(f"{args.layer}: not published: {e}")

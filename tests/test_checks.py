@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from cubes import ENSEMBLE, ENSEMBLE_AXES, WEATHER, WEATHER_AXES, cells_of, ensemble_arrays, weather_arrays
+from cubes import COLS, ENSEMBLE, ENSEMBLE_AXES, HALF, MEMBERS, ROWS, WEATHER, WEATHER_AXES, cells_of, ensemble_arrays, weather_arrays
 
 from gridloom.catalog import Variable
 from gridloom.operators import axes, ensemble
@@ -13,7 +13,7 @@ def weather_report(spark, change=None, axes_=WEATHER_AXES, **kw):
         change(arrays)
     used = {v.name: v.axis for v in WEATHER}
     cells = cells_of(spark, arrays, used, {**WEATHER_AXES, **{k: h if len(h) == len(WEATHER_AXES[k]) else WEATHER_AXES[k] for k, h in axes_.items()}})
-    return validate(cells, WEATHER, axes_, 4, 8, **kw)
+    return validate(cells, WEATHER, axes_, ROWS, COLS, **kw)
 
 
 def test_good_run_passes_in_order(spark):
@@ -52,15 +52,15 @@ def test_bad_runs_fail_by_name(spark, change, name):
 
 
 def test_axes_are_checked(spark):
-    assert any(f.startswith("axis_monotonic[hourly]") for f in weather_report(spark, axes_={"hourly": [0, 2, 1], "h3": [0, 3]}).failures)
-    assert [f.split(":")[0] for f in weather_report(spark, expected_axes={"h3": [0, 3, 6]}).failures] == ["axis_complete[h3]"]
+    assert any(f.startswith("axis_monotonic[hourly]") for f in weather_report(spark, axes_={"hourly": [0, 2, 1, 4], "h3": [0, 3, 6]}).failures)
+    assert [f.split(":")[0] for f in weather_report(spark, expected_axes={"h3": [0, 3, 6, 9]}).failures] == ["axis_complete[h3]"]
 
 
-def ensemble_report(spark, members=5, change=None):
+def ensemble_report(spark, members=MEMBERS, change=None):
     arrays, variables = ensemble_arrays(), list(ENSEMBLE)
     if change:
         variables += change(arrays)
-    return validate(cells_of(spark, arrays, {v.name: "steps" for v in variables}, ENSEMBLE_AXES), variables, ENSEMBLE_AXES, 4, 4, members)
+    return validate(cells_of(spark, arrays, {v.name: "steps" for v in variables}, ENSEMBLE_AXES), variables, ENSEMBLE_AXES, ROWS, HALF, members)
 
 
 def test_members_are_counted(spark):
