@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -330,17 +330,8 @@ def _meeting_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield out(held[0], held[1], _met(held[0], held[2].view(np.uint64), large))
 
 
-def _near_pairs(unit, cross, chunk, rep, root, prints, limit: int, every: bool) -> Iterator[np.ndarray]:
-    """Pairs (larger rep, smaller rep) of rows sorted by unit that differ in at most so many bits: all between different roots, or of each row only the nearest."""
-
-    def chosen(i, j, far):
-        i, j = np.where(rep[i] > rep[j], i, j), np.where(rep[i] > rep[j], j, i)
-        if not every:
-            order = np.lexsort((rep[j], far, i))
-            first = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
-            i, j = i[first], j[first]
-        return np.stack([rep[i], rep[j]], axis=1)
-
+def _near_pairs(unit, cross, chunk, rep, root, prints, limit: int, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of places (of the larger rep, of the smaller) in rows sorted by unit that differ in at most so many bits, and how many; with `every` those between different roots only. At most 256 rows of a large unit with all of it at once."""
     fits = lambda i, j: (rep[i] != rep[j]) & (~cross[i] | (chunk[i] != chunk[j])) & ((root[i] != root[j]) | (not every))
     far_of = lambda i, j: np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1, dtype=np.int64)
     starts = np.append(0, np.flatnonzero(np.diff(unit)) + 1)
@@ -354,7 +345,8 @@ def _near_pairs(unit, cross, chunk, rep, root, prints, limit: int, every: bool)
         i = i[fits(i, i + k)]
         far = far_of(i, i + k)
         found.append([i[far <= limit], i[far <= limit] + k, far[far <= limit]])
-    yield chosen(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    i, j, far = (np.concatenate(x) for x in zip(*found, strict=True))
+    yield np.where(rep[i] > rep[j], i, j), np.where(rep[i] > rep[j], j, i), far
     for lo, n in zip(starts[sizes > SMALL_BAND], sizes[sizes > SMALL_BAND], strict=True):
         rows = np.arange(lo, lo + n)
         for at in range(0, n, 256):
@@ -363,23 +355,21 @@ def _near_pairs(unit, cross, chunk, rep, root, prints, limit: int, every: bool)
             x, y = np.nonzero((far <= limit) & (rep[some][:, None] > rep[rows][None, :]))
             pick = fits(some[x], rows[y])
             x, y = x[pick], y[pick]
-            yield chosen(some[x], rows[y], far[x, y])
+            yield some[x], rows[y], far[x, y]
 
 
-@worker_task("simhash")
-def _pair_batches(batches: Iterator[pa.RecordBatch], limit: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by unit (a band's chunk, or two of its chunks) to pairs (a, b); a unit is held whole, two chunks at most."""
-    names = ("unit", "cross", "chunk", "rep", "root", "print")
-    held = None
+#: What a row of a unit (a band's chunk, or two of its chunks) carries: nth is the band's number.
+_UNIT_ROW = ("unit", "cross", "chunk", "rep", "root", "nth", "print")
+
 
-    def pairs(table: pa.Table):
-        columns = [table[n].to_numpy() for n in names[:5]]
+def _whole_units(batches: Iterator[pa.RecordBatch], names: tuple[str, ...] = _UNIT_ROW) -> Iterator[tuple[pa.Table, dict, np.ndarray]]:
+    """Rows sorted by unit as tables of whole units, their columns and prints; a unit is held whole, two chunks at most."""
+
+    def opened(table: pa.Table):
         prints = np.frombuffer(b"".join(table["print"].to_pylist()), np.uint64).reshape(-1, LONG_WORDS)
-        for found in _near_pairs(*columns, prints, limit, every):
-            if len(found):
-                found = np.unique(found, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+        return table, {n: table[n].to_numpy() for n in _UNIT_ROW[:6]}, prints
 
+    held = None
     for batch in batches:
         part = pa.Table.from_batches([batch]).select(names)
         held = pa.concat_tables([held, part]) if held is not None else part
@@ -387,10 +377,84 @@ def _pair_batches(batches: Iterator[pa.RecordBatch], limit: int, every: bool) ->
             continue
         unit = held["unit"].to_numpy()
         end = int(np.searchsorted(unit, unit[-1]))
-        yield from pairs(held.slice(0, end))
+        yield opened(held.slice(0, end))
         held = held.slice(end)
     if held is not None and held.num_rows:
-        yield from pairs(held)
+        yield opened(held)
+
+
+def _pairs_of(columns: dict, prints: np.ndarray, limit: int, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    return _near_pairs(*(columns[n] for n in _UNIT_ROW[:5]), prints, limit, every)
+
+
+@worker_task("simhash")
+def _nearest_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Of each row of a unit the pair (a, b) with the nearest smaller rep in it."""
+    for _, columns, prints in _whole_units(batches):
+        rep = columns["rep"]
+        for i, j, far in _pairs_of(columns, prints, limit, False):
+            order = np.lexsort((rep[j], far, i))
+            first = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+            found = np.unique(np.stack([rep[i[first]], rep[j[first]]], axis=1), axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+
+def _owned(i: np.ndarray, j: np.ndarray, nth: np.ndarray, prints: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which pairs are decided here, in the first band that both are in. Those with far first words may have left a small band, so any band decides them."""
+    mine = np.bitwise_count(prints[i, 0] ^ prints[j, 0]) > FIRST_WORD_RADIUS
+    for at in range(0, len(i), 2048):
+        some = slice(at, at + 2048)
+        differ = np.unpackbits((prints[i[some]] ^ prints[j[some]]).astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        mine[some] |= (~differ[:, places].any(axis=2)).argmax(axis=1) == nth[i[some]]
+    return mine
+
+
+@worker_task("simhash")
+def _open_batches(batches: Iterator[pa.RecordBatch], limit: int, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of each unit that are near a row of another root; never their pairs."""
+    for table, columns, prints in _whole_units(batches):
+        need = np.zeros(len(prints), bool)
+        for i, j, _ in _pairs_of(columns, prints, limit, True):
+            mine = _owned(i, j, columns["nth"], prints, places)
+            need[i[mine]] = need[j[mine]] = True
+        yield from table.drop_columns("print").filter(pa.array(need)).to_batches()
+
+
+def _top(parent: dict, x: int) -> int:
+    while (up := parent.get(x, x)) != x:
+        parent[x] = x = parent.get(up, up)
+    return x
+
+
+@worker_task("simhash")
+def _link_batches(batches: Iterator[pa.RecordBatch], limit: int, places: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of each unit by the texts' shingles, fewer than it has rows: what is linked already is not compared again."""
+    for table, columns, prints in _whole_units(batches, (*_UNIT_ROW, "shingles")):
+        sets = [np.frombuffer(x, np.uint32) for x in table["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        rep, root, parent, links = columns["rep"], columns["root"], {}, []
+        for i, j, _ in _pairs_of(columns, prints, limit, True):
+            mine = _owned(i, j, columns["nth"], prints, places)
+            i, j = i[mine], j[mine]
+            order = np.lexsort((j, i))
+            i, j = i[order], j[order]
+            cuts = [*np.flatnonzero(np.diff(i, prepend=-1)), len(i)]
+            for lo, hi in pairwise(cuts):
+                x, own = sets[i[lo]], _top(parent, root[i[lo]])
+                others = np.array([k for k in j[lo:hi] if _top(parent, root[k]) != own], np.int64)
+                for at in range(0, len(others), 256):
+                    part = others[at : at + 256]
+                    flat = np.concatenate([sets[k] for k in part])
+                    same = x[np.minimum(np.searchsorted(x, flat), len(x) - 1)] == flat
+                    both = np.add.reduceat(same, np.append(0, np.cumsum(sizes[part])[:-1]), dtype=np.int64)
+                    for k in part[both >= similarity * (len(x) + sizes[part] - both)]:
+                        if (p := _top(parent, root[k])) != (q := _top(parent, root[i[lo]])):
+                            parent[max(p, q)] = min(p, q)
+                            links.append((rep[i[lo]], rep[k]))
+        if links:
+            a, b = np.array(links, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 @worker_task("simhash")
@@ -418,11 +482,15 @@ def _jaccard_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> It
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, shingles of the documents wanted (doc_id, distinct)."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(written(wanted, "wanted"), "doc_id")
+    return written(texts.mapInArrow(partial(_shingle_batches, shingle=shingle), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "shingles")
+
+
 def _decided(docs: DataFrame, unsure: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts have at least the similarity, by their shingles."""
-    wanted = written(unsure.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id").mapInArrow(partial(_shingle_batches, shingle=shingle), "doc_id long, shingles binary")
-    sets = written(texts.dropDuplicates(["doc_id"]), "shingles")
+    sets = _shingle_sets(docs, unsure.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), shingle)
     of = lambda n: sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"of_{n}"))
     return unsure.join(of("a"), "a").join(of("b"), "b").mapInArrow(partial(_jaccard_batches, similarity=similarity), "a long, b long")
 
@@ -436,8 +504,10 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     pairs at the similarity meet in some band, and nearly all of those above it). The share of
     differing bits shows the similarity with a standard deviation of 0.03; pairs not clearly under
     it are decided by their shingles: first of each text the nearest that it meets in a band, then
-    all pairs that meet and are not in one group yet, so that large groups of copies need no pairs
-    of all with all. Large bands are compared by chunks. Nulls, copies and repeated rows are as in
+    all pairs that meet and are not in one group yet. The latter are not rows: texts that still have
+    such a partner go back to their band with their shingles, and the band's task decides there,
+    each pair in the first band it meets in, and gives the links that join groups. So rows grow with
+    the texts, not with the pairs. Large bands are compared by chunks. Nulls, copies and repeated rows are as in
     near_duplicates, except that texts without a word link with nothing.
     """
     prints = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_long_batches, shingle=shingle), "doc_id long, print binary"), "prints")
@@ -450,21 +520,25 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     # What joins back is a table of its own: adaptive skew handling splits a hot key only between plain exchanges.
     members = meets.join(written(chunks, "chunks"), "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
     members = members.select("band", "rep", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))
-    members = members.select("rep", "chunk", (F.col("chunk") != F.col("other")).alias("cross"), F.xxhash64("band", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"))
+    nth = F.shiftrightunsigned("band", places.shape[1]).cast("int").alias("nth")
+    members = members.select("rep", "chunk", nth, (F.col("chunk") != F.col("other")).alias("cross"), F.xxhash64("band", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("unit"))
     # A chunk with itself has one row of each member, two chunks one of each member of both.
     members = written(members, "members")
     limit = int(differing_share(similarity - MARGIN_BELOW) * LONG_WORDS * BITS)
-
-    def candidates(roots: DataFrame | None) -> DataFrame:
-        known = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left") if roots else distinct.withColumn("root", F.col("rep"))
-        known = written(known.select("rep", "print", F.coalesce("root", "rep").alias("root")), "known")
-        rows = members.join(known, "rep").repartition("unit").sortWithinPartitions("unit")
-        found = rows.mapInArrow(partial(_pair_batches, limit=limit, every=roots is not None), "a long, b long").distinct()
-        return written(_decided(docs, written(found, "pairs"), shingle, similarity), "decided")
-
-    first = candidates(None)
-    roots = components(first)
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(candidates(roots)))
+    by_unit = lambda rows: rows.repartition("unit").sortWithinPartitions("unit")
+
+    known = distinct.select("rep", "print", F.col("rep").alias("root"))
+    pairs = by_unit(members.join(known, "rep")).mapInArrow(partial(_nearest_batches, limit=limit), "a long, b long").distinct()
+    roots = components(written(_decided(docs, written(pairs, "pairs"), shingle, similarity), "decided"))
+
+    known = distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "print", F.coalesce("root", "rep").alias("root"))
+    known = written(known, "known")
+    schema = "unit long, cross boolean, chunk int, rep long, root long, nth int"
+    unsure = written(by_unit(members.join(known, "rep")).mapInArrow(partial(_open_batches, limit=limit, places=places), schema), "unsure")
+    sets = _shingle_sets(docs, unsure.select(F.col("rep").alias("doc_id")).distinct(), shingle).withColumnRenamed("doc_id", "rep")
+    whole = by_unit(unsure.join(known.select("rep", "print"), "rep").join(sets, "rep"))
+    links = whole.mapInArrow(partial(_link_batches, limit=limit, places=places, similarity=similarity), "a long, b long")
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
     named = written(distinct.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("root", "rep").alias("component_id")), "named")
     return prints.join(named, "print", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
