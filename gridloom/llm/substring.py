@@ -72,19 +72,32 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], length: int, k: int) -> I
 @worker_task("substring")
 def _window_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, text, spans of (seed, start, windows)) to one row for each window: seed, window, doc_id, start."""
+    names = ["seed", "window", "doc_id", "start"]
+
+    def flush(parts: list[tuple]) -> pa.RecordBatch:
+        seed, window, doc, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(seed), pa.array(window.view(np.int64)), pa.array(doc), pa.array(start.astype(np.int32))], names)
+
+    parts, rows = [], 0
     for doc_id, text, spans in rows_of(batches, "doc_id", "text", "spans"):
         prefix = prefix_hashes(word_hashes(byte_words(text)))
         count = np.array([x["windows"] for x in spans])
         seed = np.repeat(np.array([x["seed"] for x in spans], np.int64), count)
         start = np.repeat(np.array([x["start"] for x in spans]), count) + np.concatenate([np.arange(c) for c in count])
-        window = span_hashes(prefix, start, start + length)
-        yield pa.RecordBatch.from_arrays([pa.array(seed), pa.array(window.view(np.int64)), pa.array(np.full(len(start), doc_id, np.int64)), pa.array(start.astype(np.int32))], ["seed", "window", "doc_id", "start"])
+        parts.append((seed, span_hashes(prefix, start, start + length), np.full(len(start), doc_id, np.int64), start))
+        rows += len(start)
+        if rows > 50_000:
+            yield flush(parts)
+            parts, rows = [], 0
+    if parts:
+        yield flush(parts)
 
 
 def repeated_spans(docs: DataFrame, length: int = 20, k: int = SEED_WORDS) -> DataFrame:
     """doc_id, first, last: words first..last lie in windows that also start earlier. Spans may overlap."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = texts.mapInArrow(partial(_anchor_batches, length=length, k=k), "seed long, extension long, doc_id long, start int, windows int")
+    # Written, as it is read twice and takes a pass over all texts.
+    found = written(texts.mapInArrow(partial(_anchor_batches, length=length, k=k), "seed long, extension long, doc_id long, start int, windows int"), "anchors")
     # What joins back is a table of its own: adaptive skew handling splits a hot key only between plain exchanges.
     again = written(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "again")
     again = written(found.join(again, "seed"), "seeds")
@@ -145,7 +158,8 @@ def dedup_text(docs: DataFrame, length: int = 20, k: int = SEED_WORDS) -> DataFr
     Null and empty texts and those under ``length`` words lose nothing, nor does a row with a null
     doc_id. Rows that share a doc_id are one document as to order: a window is not a repeat of the
     same place in another row of its own doc_id, and each of the rows loses what any of them does.
-    Other columns pass through, whatever their names, but for a column named ``spans``,
+    A very long text is read whole, by the one task that holds it, and an empty table gives an empty
+    one. Other columns pass through, whatever their names, but for a column named ``spans``,
     ``n_words`` or ``n_removed``, which gives way.
     """
     docs = docs.drop("spans", "n_words", "n_removed")
