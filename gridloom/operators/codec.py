@@ -91,11 +91,12 @@ def packed(data: bytes) -> bytes:
     return gzip.compress(data, 9, mtime=0)
 
 
-def run_header(layer: str, model: str, run_id: str, cycle_iso: str, dlat: float, dlon: float, axes: dict[str, list[int]], variables: list[Variable], members: int = 1, generated_at: str | None = None) -> dict:
+def run_header(layer: str, model: str, run_id: str, cycle_iso: str, dlat: float, dlon: float, axes: dict[str, list[int]], variables: list[Variable], members: int = 1, generated_at: str | None = None, provenance: dict | None = None) -> dict:
     """What the headers of a run's tiles share."""
     out = {"spec": SPEC, "schema_version": 1, "layer": layer, "model": model, "run_id": run_id, "cycle": cycle_iso, "tile_id": None, "lat0": None, "lon0": None, "dlat": dlat, "dlon": dlon, "nlat": None, "nlon": None}
     out |= {"time_axes": {n: {"base": cycle_iso, "offsets_h": h} for n, h in axes.items()}, "member_count": members, "variables": [v.public() for v in variables]}
-    return out | ({"generated_at": generated_at} if generated_at else {})
+    out |= {"generated_at": generated_at} if generated_at else {}
+    return out | ({"provenance": provenance} if provenance is not None else {})
 
 
 #: Columns that cells of several runs carry: the run and its cycle as headers show them.

@@ -269,10 +269,10 @@ def gust_all_or_nothing(spark, d):
     return found.crossJoin(F.broadcast(total)).select("k", "gust_steps", (F.col("gust_steps") == F.col("total")).alias("gusts"))
 
 
-@query("available_members", "WITH m AS (SELECT k AS ord, CASE WHEN k = 0 THEN 'gec00' ELSE printf('gep%02d', CAST(k AS INTEGER)) END AS member FROM (SELECT unnest(range(0, 31)) AS k)) SELECT CAST(ord AS INTEGER) AS ord, member FROM m WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey % 31 = ord AND l_orderkey % 81 = 80 AND l_linenumber = 7)")
+@query("available_members", "WITH m AS (SELECT k AS ord, CASE WHEN k = 0 THEN 'gec00' ELSE printf('gep%02d', CAST(k AS INTEGER)) END AS member FROM (SELECT unnest(range(0, 31)) AS k)) SELECT CAST(ord AS INTEGER) AS ord, member FROM m WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey % 31 = ord AND l_orderkey % 81 = 80)")
 def available_members(spark, d):
     members = spark.createDataFrame(list(enumerate(providers.MEMBERS)), "ord int, member string")
-    have = table(spark, d, "lineitem").where("l_orderkey % 81 = 80 and l_linenumber = 7").select((F.col("l_suppkey") % 31).cast("int").alias("ord"))
+    have = table(spark, d, "lineitem").where("l_orderkey % 81 = 80").select((F.col("l_suppkey") % 31).cast("int").alias("ord"))
     return members.join(have, "ord", "left_semi")
 
 
@@ -282,25 +282,24 @@ def gust_available(spark, d):
     return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("member")).agg((F.count_distinct(F.when(step.isin(1, 80) & (F.col("l_returnflag") == "R"), step)) == 2).alias("gusts"))
 
 
-@query("gust_param", "SELECT l_shipdate, arg_min(p, ord) AS param FROM (SELECT l_shipdate, l_linenumber AS ord, CASE l_linenumber WHEN 1 THEN '10fg' WHEN 2 THEN '10fg3' ELSE '10fg6' END AS p FROM lineitem WHERE l_linenumber <= 3) GROUP BY l_shipdate")
+@query("gust_param", "SELECT l_shipdate, arg_min(p, ord) AS param FROM (SELECT l_shipdate, l_linenumber % 3 AS ord, CASE l_linenumber % 3 WHEN 0 THEN '10fg' WHEN 1 THEN '10fg3' ELSE '10fg6' END AS p FROM lineitem) GROUP BY l_shipdate")
 def gust_param(spark, d):
-    k = F.col("l_linenumber")
-    p = F.element_at(F.array(*map(F.lit, providers.GUST_PARAMS)), k)
-    return table(spark, d, "lineitem").where(k <= 3).groupBy("l_shipdate").agg(F.min_by(p, k).alias("param"))
+    k = (F.col("l_linenumber") % 3).cast("int")
+    p = F.element_at(F.array(*map(F.lit, providers.GUST_PARAMS)), k + 1)
+    return table(spark, d, "lineitem").groupBy("l_shipdate").agg(F.min_by(p, k).alias("param"))
 
 
-@query("step_urls", "SELECT DISTINCT CAST(l_orderkey % 81 * 3 AS INTEGER) AS step, 'https://noaa-gfs-bdp-pds.s3.amazonaws.com/gfs.' || strftime(l_shipdate, '%Y%m%d') || '/' || strftime(l_shipdate, '%H') || '/atmos/gfs.t' || strftime(l_shipdate, '%H') || 'z.pgrb2.0p25.f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS weather, 'https://noaa-gefs-pds.s3.amazonaws.com/gefs.' || strftime(l_shipdate, '%Y%m%d') || '/' || strftime(l_shipdate, '%H') || '/atmos/pgrb2ap5/gep01.t' || strftime(l_shipdate, '%H') || 'z.pgrb2a.0p50.f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS ensemble FROM lineitem WHERE l_linenumber = 1")
+@query("step_urls", "SELECT DISTINCT CAST(l_orderkey % 81 * 3 AS INTEGER) AS step, 'https://noaa-gfs-bdp-pds.s3.amazonaws.com/gfs.' || strftime(l_shipdate, '%Y%m%d') || '/' || strftime(l_shipdate, '%H') || '/atmos/gfs.t' || strftime(l_shipdate, '%H') || 'z.pgrb2.0p25.f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS weather, 'https://noaa-gefs-pds.s3.amazonaws.com/gefs.' || strftime(l_shipdate, '%Y%m%d') || '/' || strftime(l_shipdate, '%H') || '/atmos/pgrb2ap5/gep01.t' || strftime(l_shipdate, '%H') || 'z.pgrb2a.0p50.f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS ensemble FROM lineitem")
 def step_urls(spark, d):
-    rows = table(spark, d, "lineitem").where("l_linenumber = 1").select((F.col("l_orderkey") % 81 * 3).cast("int").alias("step"), F.col("l_shipdate").alias("cycle"))
+    rows = table(spark, d, "lineitem").select((F.col("l_orderkey") % 81 * 3).cast("int").alias("step"), F.col("l_shipdate").alias("cycle"))
     return rows.select("step", providers.url_column("weather", F.col("cycle"), F.col("step")).alias("weather"), providers.url_column("ensemble", F.col("cycle"), F.col("step"), F.lit("gep01")).alias("ensemble")).distinct()
 
 
-@query("urls_digest", "SELECT l_returnflag, substr(sha256(string_agg(u || chr(10), '' ORDER BY u)), 1, 16) AS digest FROM (SELECT DISTINCT l_returnflag, 'https://h/' || l_orderkey || '/f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS u FROM lineitem WHERE l_linenumber = 1) GROUP BY l_returnflag")
+@query("urls_digest", "SELECT l_shipdate, substr(sha256(string_agg(u || chr(10), '' ORDER BY u)), 1, 16) AS digest FROM (SELECT DISTINCT l_shipdate, 'https://h/gep' || printf('%02d', CAST(l_linenumber AS INTEGER)) || '/f' || printf('%03d', CAST(l_orderkey % 81 * 3 AS INTEGER)) AS u FROM lineitem) GROUP BY l_shipdate")
 def urls_digest(spark, d):
-    u = F.concat(F.lit("https://h/"), F.col("l_orderkey").cast("string"), F.lit("/f"), F.format_string("%03d", (F.col("l_orderkey") % 81 * 3).cast("int")))
-    rows = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_returnflag", u.alias("u"))
-    text = F.concat(F.array_join(F.array_sort(F.collect_set("u")), "\n"), F.lit("\n"))
-    return rows.groupBy("l_returnflag").agg(F.substring(F.sha2(text, 256), 1, 16).alias("digest"))
+    """A day is a run of seven members and 81 steps, so a group has at most 567 URLs however many rows there are."""
+    u = F.concat(F.lit("https://h/gep"), F.format_string("%02d", F.col("l_linenumber").cast("int")), F.lit("/f"), F.format_string("%03d", (F.col("l_orderkey") % 81 * 3).cast("int")))
+    return table(spark, d, "lineitem").groupBy("l_shipdate").agg(providers.urls_digest(u).alias("digest"))
 
 
 @query("first_grid", f"WITH {POINTS} SELECT step_h, arg_min(lat, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber) AS lat FROM points WHERE u IS NOT NULL GROUP BY step_h")

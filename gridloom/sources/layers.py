@@ -21,10 +21,11 @@ from gridloom.sources.providers import CycleNotAvailable
 PLAN = "layer string, url string, step_h int, member int, var string, level string, optional boolean"
 
 
-def download_plan(spark: SparkSession, layer: str, cycle: datetime, members: list[str] | None = None) -> DataFrame:
-    """One row for each message wanted: variables by the steps of their axis, members by steps for the ensemble."""
+def download_plan(spark: SparkSession, layer: str, cycle: datetime, members: list[str] | None = None, gusts: bool = False) -> DataFrame:
+    """One row for each message wanted: variables by the steps of their axis, members by steps for the ensemble, whose gusts have files of their own."""
     if layer == "ensemble":
-        rows = [(layer, providers.url(layer, cycle, s, m), s, k, v, "10 m above ground", False) for k, m in enumerate(members or providers.MEMBERS) for s in catalog.axes(layer)["steps"] for v in ("UGRD", "VGRD")]
+        wanted = [(layer, "UGRD", "10 m above ground"), (layer, "VGRD", "10 m above ground")] + ([("ensemble-gust", "GUST", "surface")] if gusts else [])
+        rows = [(layer, providers.url(kind, cycle, s, m), s, k, v, level, False) for k, m in enumerate(members or providers.MEMBERS) for s in catalog.axes(layer)["steps"] for kind, v, level in wanted]
     else:
         steps = sorted({s for hours in catalog.axes(layer).values() for s in hours})
         rows = [(layer, providers.url(layer, cycle, s), s, None, *v.grib, v.optional) for s in steps for v in catalog.variables_for_step(layer, s)]
@@ -48,6 +49,15 @@ def _download(batches: Iterator[pa.RecordBatch], get: Callable[[str], bytes], ge
         yield pa.RecordBatch.from_pylist(out, pa.schema([("var", pa.string()), ("level", pa.string()), ("step_h", pa.int32()), ("member", pa.int32()), ("message", pa.binary())]))
 
 
+def plan_digest(plan: DataFrame) -> str:
+    """The digest of a plan's URLs as provenance has it: of the ensemble, the wind files of the first and the last step."""
+    shown = plan.select("url")
+    if plan.where("member is not null").limit(1).count():
+        steps = catalog.axes("ensemble")["steps"]
+        shown = plan.where((F.col("var") == "UGRD") & F.col("step_h").isin(steps[0], steps[-1])).select("url")
+    return shown.agg(providers.urls_digest(F.col("url"))).first()[0]
+
+
 def download(plan: DataFrame, get: Callable = http.fetch, get_range: Callable = http.fetch_range) -> DataFrame:
     """plan to messages; a file's rows go to one task, files to all."""
     files = plan.repartition("url").sortWithinPartitions("url", "step_h")

@@ -28,6 +28,18 @@ GUST_PARAMS = ("10fg", "10fg3", "10fg6")
 GUST_NAMES = ("10fg", "fg10", "10fg3", "10fg6", "gust", "i10fg", "p10fg")
 LOOK_BACK, RTOFS_LOOK_BACK = 8, 3
 AUTH_WAITS_S = (300, 900)
+#: What a run says of where it comes from.
+SOURCES = {
+    "weather": {"source": "NOAA GFS 0.25deg (noaa-gfs-bdp-pds)"},
+    "waves": {"source": "NOAA GFS-Wave 0.25deg (noaa-gfs-bdp-pds)"},
+    "ensemble": {"source": "NOAA GEFS 0.5deg (noaa-gefs-pds), pgrb2ap5 wind"},
+    "currents": {
+        "source": "Copernicus Marine GLOBAL_ANALYSISFORECAST_PHY_001_024",
+        "attribution": "E.U. Copernicus Marine Service Information; doi:10.48670/moi-00016",
+        "tidal_caveat": "instantaneous model currents, not tidal stream predictions",
+    },
+    "weather-ecmwf": {"source": "ECMWF open data IFS 0.25deg (CC BY 4.0)"},
+}
 
 
 class CycleNotAvailable(RuntimeError):
@@ -52,6 +64,12 @@ def url_column(kind: str, cycle: Column, step: Column, member: Column | None = N
     return F.concat(*out)
 
 
+def urls_digest(url: Column) -> Column:
+    """An aggregate over a run's URLs, which are few: the first 16 hex digits of SHA-256 over them, sorted, each once and with a line feed behind it."""
+    lines = F.concat(F.array_join(F.array_sort(F.collect_set(url)), "\n"), F.lit("\n"))
+    return F.substring(F.sha2(lines, 256), 1, 16)
+
+
 def floor_to_cycle(at: datetime, cadence_h: int = 6) -> datetime:
     return at.replace(hour=at.hour // cadence_h * cadence_h, minute=0, second=0, microsecond=0)
 
